@@ -1,0 +1,2 @@
+"""Every workload covered here is a batch over finished tables, so no
+streaming operator is provided."""
