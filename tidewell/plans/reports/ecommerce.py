@@ -11,7 +11,7 @@ from tidewell.functions.numbers import (
     cents, fixed, fixed_avg, money_avg, money_sum, pct_change, percent, ratio, round_half_up,
 )
 from tidewell.functions.ranking import quantiles
-from tidewell.plans.reports.shared import n_rows, share_of
+from tidewell.plans.reports.shared import money_share_of, n_rows, share_of
 from tidewell.plans.views import order_lines
 from tidewell.sources.warehouse import Warehouse
 
@@ -109,7 +109,7 @@ def category_summary(w: Warehouse) -> DataFrame:
         F.sum("orders").alias("orders"),
         round_half_up(F.avg("avg_price"), 4).alias("avg_price"),
     )
-    return grouped.withColumn("share_pct", share_of("revenue"))
+    return grouped.withColumn("share_pct", money_share_of("revenue"))
 
 
 def discount_by_segment(w: Warehouse) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.dates import month_key
 from tidewell.functions.numbers import count_if, fixed_avg, money_avg, money_sum, pct_change, round_half_up
-from tidewell.plans.reports.shared import n_rows, share_of
+from tidewell.plans.reports.shared import money_share_of, n_rows, share_of
 from tidewell.plans.rollups import CLOSED_STAGES
 from tidewell.sources.warehouse import Warehouse
 
@@ -55,7 +55,7 @@ def yoy_performance(w: Warehouse) -> DataFrame:
 
 def region_share(w: Warehouse) -> DataFrame:
     by_region = w["v_orders_clean"].groupBy("region").agg(money_sum("total_amount").alias("revenue"))
-    return by_region.withColumn("share_pct", share_of("revenue"))
+    return by_region.withColumn("share_pct", money_share_of("revenue"))
 
 
 def region_year_share(w: Warehouse) -> DataFrame:
@@ -64,7 +64,7 @@ def region_year_share(w: Warehouse) -> DataFrame:
         n_rows().alias("orders"),
         F.countDistinct("customer_id").alias("customers"),
     )
-    return grouped.withColumn("share_pct", share_of("revenue", "year"))
+    return grouped.withColumn("share_pct", money_share_of("revenue", "year"))
 
 
 MIX_DIMENSIONS = ("segment", "industry", "region", "acquisition_channel", "status")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewell.functions.numbers import percent
+from tidewell.functions.numbers import cents, percent
 
 
 def n_rows() -> Column:
@@ -21,6 +21,11 @@ def share_of(value: str, *within: str) -> Column:
     return percent(F.col(value), F.sum(value).over(W.partitionBy(*within)))
 
 
+def money_share_of(value: str, *within: str) -> Column:
+    whole = F.sum(cents(value)).over(W.partitionBy(*within)) / F.lit(100.0)
+    return percent(F.col(value), whole)
+
+
 def histogram(df: DataFrame, column: str, bins: int, *by: str) -> DataFrame:
     """Equal-width bins between the overall minimum and maximum.
 
