@@ -45,6 +45,10 @@ def chosen(key: str, salt: str, rate: float) -> str:
     return f"(md5('{salt}:'||{key})<'{format(int(rate * 2**32), '08x')}')"
 
 
+def drawn(key: str, salt: str, low: float, high: float) -> str:
+    return f"({chosen(key, salt, high)} AND NOT {chosen(key, salt, low)})"
+
+
 def draw(key: str, salt: str) -> str:
     return f"(('0x'||substr(md5('{salt}:'||{key}),9,8))::BIGINT)"
 
@@ -57,6 +61,21 @@ def hash60(*cols: str) -> str:
     return "(('0x'||substr(md5(" + "||'|'||".join(cols) + "),1,15))::BIGINT)"
 
 
+PRIMES = (2147483647, 2147483629)
+SPREAD = (
+    (48271, 69621, 630360016, 742938285, 950706376, 1226874159),
+    (16807, 39373, 764261123, 1078318381, 397204094, 62089911),
+)
+
+
+def number_key(*cols: str) -> str:
+    halves = [
+        "((" + "+".join(f"(({c})::BIGINT%{p}*{m}%{p})" for c, m in zip(cols, spread)) + f")%{p})"
+        for p, spread in zip(PRIMES, SPREAD)
+    ]
+    return f"({halves[0]}*2147483648+{halves[1]})"
+
+
 def month(d: str) -> str:
     return f"strftime({d},'%Y-%m')"
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.dialect import (
-    bucket, change, chosen, favg, fixed, iavg, mavg, month, msum, pct, qtr, rat, rnd, with_tables, year, yq,
+    bucket, change, chosen, drawn, favg, fixed, iavg, mavg, month, msum, pct, qtr, rat, rnd, with_tables, year, yq,
 )
 from oracle.tables import (
     AS_OF, CUTOFF, FOCUS, MOJIBAKE, T, cut, garbled, loosened, misspelt, mistyped, varied,
@@ -255,12 +255,12 @@ Q["deg_near_duplicates"] = """SELECT customer_id, company_name, region, NULL::BI
 Q["deg_shift_dates"] = f"""SELECT payment_id, payment_date+CASE WHEN {chosen('payment_id', 'shift', 0.04)}
     THEN ({bucket('payment_id', 'shift', 5)}+3)::INT ELSE 0 END AS payment_date FROM b_payments"""
 Q["deg_year_typo"] = f"SELECT order_id, {mistyped('order_id', 'order_date')} AS order_date FROM b_orders"
-Q["deg_zero"] = f"""SELECT line_id, CASE WHEN {chosen('line_id', 'zero', 0.008)} AND unit_price>0 THEN 0
+Q["deg_zero"] = f"""SELECT line_id, CASE WHEN {drawn('line_id', 'price', 0.0, 0.008)} AND unit_price>0 THEN 0
     ELSE unit_price END AS unit_price FROM b_order_items"""
-Q["deg_negative"] = f"""SELECT line_id, CASE WHEN {chosen('line_id', 'negative', 0.003)} AND unit_price>0
+Q["deg_negative"] = f"""SELECT line_id, CASE WHEN {drawn('line_id', 'price', 0.008, 0.011)} AND unit_price>0
     THEN -unit_price ELSE unit_price END AS unit_price FROM b_order_items"""
-Q["deg_outlier"] = f"""SELECT line_id, CASE WHEN {chosen('line_id', 'outlier', 0.002)} AND unit_price>0
-    THEN unit_price*CASE WHEN {bucket('line_id', 'outlier', 2)}=0 THEN 100 ELSE 1000 END ELSE unit_price END AS unit_price
+Q["deg_outlier"] = f"""SELECT line_id, CASE WHEN {drawn('line_id', 'price', 0.011, 0.013)} AND unit_price>0
+    THEN unit_price*CASE WHEN {bucket('line_id', 'price', 2)}=0 THEN 100 ELSE 1000 END ELSE unit_price END AS unit_price
     FROM b_order_items"""
 Q["deg_orphan_fk"] = f"""SELECT order_id, CASE WHEN {chosen('order_id', 'orphan', 0.005)}
     THEN (SELECT greatest(90001, max(customer_id)*2+2) FROM b_customers)+order_id ELSE customer_id END AS customer_id

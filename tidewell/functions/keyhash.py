@@ -26,6 +26,15 @@ def chosen(key: Column | str, salt: str, rate: float) -> Column:
     return digest(key, salt) < F.lit(threshold(rate))
 
 
+def drawn(key: Column | str, salt: str, low: float, high: float) -> Column:
+    """True for keys whose first 32 bits fall in [low, high) of their range.
+
+    Rules that share a salt take neighbouring ranges: one digest serves all,
+    and no row is hit twice.
+    """
+    return (digest(key, salt) < F.lit(threshold(high))) & (digest(key, salt) >= F.lit(threshold(low)))
+
+
 def draw(key: Column | str, salt: str) -> Column:
     """A number of 32 bits that does not depend on whether the row is chosen."""
     return F.conv(F.substring(digest(key, salt), 9, 8), 16, 10).cast("bigint")
@@ -35,7 +44,29 @@ def bucket(key: Column | str, salt: str, buckets: int) -> Column:
     return F.pmod(draw(key, salt), F.lit(buckets))
 
 
+# Two primes below 2**31 and one multiplier per column and prime: products of
+# two residues stay inside a long.
+_PRIMES = (2147483647, 2147483629)
+_SPREAD = ((48271, 69621, 630360016, 742938285, 950706376, 1226874159), (16807, 39373, 764261123, 1078318381, 397204094, 62089911))
+
+
+def number_key(*cols: Column | str) -> Column:
+    """62-bit surrogate for a row that only its columns together identify.
+
+    Takes up to six non-negative whole numbers; plain arithmetic, so it costs
+    little where a table of lines has to be numbered.
+    """
+    halves = []
+    for prime, spread in zip(_PRIMES, _SPREAD):
+        terms = [as_col(c) % F.lit(prime) * F.lit(m) % F.lit(prime) for c, m in zip(cols, spread)]
+        total = terms[0]
+        for term in terms[1:]:
+            total = total + term
+        halves.append(total % F.lit(prime))
+    return halves[0] * F.lit(1 << 31) + halves[1]
+
+
 def row_key(*cols: Column | str) -> Column:
-    """60-bit surrogate for a row that only all its columns identify."""
+    """60-bit surrogate for a short frame keyed by texts."""
     text = F.concat_ws("|", *[as_col(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")

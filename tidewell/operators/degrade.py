@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.keyhash import bucket, chosen, draw
+from tidewell.functions.keyhash import bucket, chosen, draw, drawn
 from tidewell.functions.numbers import count_if
 from tidewell.operators.flags import MOJIBAKE
 from tidewell.sources.warehouse import Warehouse
@@ -34,7 +34,8 @@ NULL_RULES: tuple[tuple[str, str, str, float], ...] = (
 NAME_RATE, REGION_RATE, WHITESPACE_RATE = 0.12, 0.05, 0.06
 DUPLICATE_RATE = 0.03
 SHIFT_RATE, TYPO_RATE = 0.04, 0.005
-ZERO_RATE, NEGATIVE_RATE, OUTLIER_RATE = 0.008, 0.003, 0.002
+# The three price rules share one draw per line and take neighbouring ranges.
+ZERO_RANGE, NEGATIVE_RANGE, OUTLIER_RANGE = (0.0, 0.008), (0.008, 0.011), (0.011, 0.013)
 ORPHAN_RATE = 0.005
 MOJIBAKE_RATE, TRUNCATE_RATE = 0.02, 0.01
 GHOST_START = 90001
@@ -130,30 +131,38 @@ def shifted_date(key: str, column: str, rate: float = SHIFT_RATE, salt: str = "s
 def year_typo(
     key: str, column: str, rate: float = TYPO_RATE, salt: str = "typo", years: dict[int, int] = TYPO_YEARS
 ) -> Column:
-    def mistype(date: Column) -> Column:
-        case = F
-        for year, shift in years.items():
-            case = case.when(F.year(date) == year, F.add_months(date, 12 * shift))
-        return case.otherwise(date)
+    months = F
+    for year, shift in years.items():
+        months = months.when(F.year(column) == year, 12 * shift)
+    return F.add_months(column, F.when(chosen(key, salt, rate), months.otherwise(0)).otherwise(0))
+
+
+def _scaled(column: str, factor: Column) -> Column:
+    """Price times a factor; prices that are not positive stay as they are."""
+    return F.col(column) * F.when(F.col(column) > 0, factor).otherwise(1.0)
 
-    return _edit(key, salt, rate, column, mistype)
 
+def zeroed(key: str, column: str, span: tuple[float, float] = ZERO_RANGE, salt: str = "price") -> Column:
+    return _scaled(column, F.when(drawn(key, salt, *span), 0.0).otherwise(1.0))
 
-def _positive(new: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda price: F.when(price > 0, new(price)).otherwise(price)
 
+def negated(key: str, column: str, span: tuple[float, float] = NEGATIVE_RANGE, salt: str = "price") -> Column:
+    return _scaled(column, F.when(drawn(key, salt, *span), -1.0).otherwise(1.0))
 
-def zeroed(key: str, column: str, rate: float = ZERO_RATE, salt: str = "zero") -> Column:
-    return _edit(key, salt, rate, column, _positive(lambda price: F.lit(0.0)))
 
+def _decimal_shift(key: str, salt: str) -> Column:
+    return F.when(bucket(key, salt, 2) == 0, 100.0).otherwise(1000.0)
 
-def negated(key: str, column: str, rate: float = NEGATIVE_RATE, salt: str = "negative") -> Column:
-    return _edit(key, salt, rate, column, _positive(lambda price: -F.abs(price)))
 
+def outlying(key: str, column: str, span: tuple[float, float] = OUTLIER_RANGE, salt: str = "price") -> Column:
+    return _scaled(column, F.when(drawn(key, salt, *span), _decimal_shift(key, salt)).otherwise(1.0))
 
-def outlying(key: str, column: str, rate: float = OUTLIER_RATE, salt: str = "outlier") -> Column:
-    factor = F.when(bucket(key, salt, 2) == 0, 100.0).otherwise(1000.0)
-    return _edit(key, salt, rate, column, _positive(lambda price: price * factor))
+
+def spoiled_price(key: str, column: str, salt: str = "price") -> Column:
+    """All three price rules in one step; most rows need one digest only."""
+    hit = F.when(drawn(key, salt, *ZERO_RANGE), 0.0).when(drawn(key, salt, *NEGATIVE_RANGE), -1.0)
+    hit = hit.otherwise(_decimal_shift(key, salt))
+    return _scaled(column, F.when(chosen(key, salt, OUTLIER_RANGE[1]), hit).otherwise(1.0))
 
 
 def garbled(key: str, column: str, rate: float = MOJIBAKE_RATE, salt: str = "mojibake") -> Column:
@@ -293,9 +302,12 @@ def degraded(w: Warehouse, typo_years: dict[int, int] = TYPO_YEARS) -> Warehouse
         dated = _apply(w["payments"], "payments", plan, ("temporal",))
         return orphan_fk(dated, "payment_id", "invoice_id", invoice_ghosts(w["invoices"]))
 
-    plain = ("returns", "support_tickets", "usage_events", "feature_adoption", "activities", "accounts", "order_items")
+    def order_items(_: Warehouse) -> DataFrame:
+        return w["order_items"].withColumn("unit_price", spoiled_price("line_id", "unit_price"))
+
+    plain = ("returns", "support_tickets", "usage_events", "feature_adoption", "activities", "accounts")
     return w.replacing(
-        customers=customers, orders=orders, payments=payments,
+        customers=customers, orders=orders, order_items=order_items, payments=payments,
         duplicate_tracking=lambda _: customers_and_tracking()[1],
         **{table: column_edits(table) for table in plain},
     )

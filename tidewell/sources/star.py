@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions.keyhash import row_key
+from tidewell.functions.keyhash import number_key
 from tidewell.functions.numbers import cents, clamp, round_half_up
 from tidewell.plans import rollups
 from tidewell.sources.warehouse import Rules, Warehouse
@@ -129,8 +129,9 @@ def orders(w: Warehouse, d: str) -> DataFrame:
 
 
 def _line_key() -> Column:
-    return row_key(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", cents("l_extendedprice"), F.floor("l_quantity")
+    return number_key(
+        "l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("bigint"), cents("l_extendedprice"),
+        F.floor("l_quantity"),
     )
 
 
