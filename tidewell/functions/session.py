@@ -18,6 +18,10 @@ _SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# For the session builder or the cluster's defaults: building a plan costs
+# several times more driver time while call sites are recorded per column.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings; static ones belong to the cluster."""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -287,6 +288,7 @@ def degraded(w: Warehouse, typo_years: dict[int, int] = TYPO_YEARS) -> Warehouse
     def column_edits(table: str):
         return lambda _: _apply(w[table], table, plan, ("nulled", "format", "temporal", "numeric", "encoding"))
 
+    @cache
     def customers_and_tracking() -> tuple[DataFrame, DataFrame]:
         tidy = _apply(w["customers"], "customers", plan, ("format",))
         return near_duplicates(tidy, "customer_id", "company_name")

@@ -26,8 +26,8 @@ USUAL_LAST_LETTERS = ("c", "g", "d", "s", "t", "n", "e", "y")
 SENTENCE_ENDS = (".", "!", "?")
 # Every character Unicode counts as white space.
 WHITESPACE = (
-    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0           "
-    "     　"
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0            "
+    "    　"
 )
 DATED_COLUMNS = (("orders", "order_date", "order_id"), ("activities", "activity_date", "activity_id"))
 FLAG_COLUMNS = ("rule_id", "table_name", "record_id", "flag_type", "description")

@@ -7,7 +7,7 @@ not the rows. Views are found under their ``v_*_clean`` names.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Hashable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +32,16 @@ class Warehouse(Mapping):
         self.spark = tune(spark)
         self.rules = rules
         self._builders = dict(builders)
-        self._built: dict[str, DataFrame] = {}
+        self._built: dict[Hashable, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = self._builder(name)(self)
-        return self._built[name]
+        return self.once(name, lambda: self._builder(name)(self))
+
+    def once(self, key: Hashable, build: Callable[[], DataFrame]) -> DataFrame:
+        """Keep the plan built under ``key``: analysing it anew costs driver time."""
+        if key not in self._built:
+            self._built[key] = build()
+        return self._built[key]
 
     def _builder(self, name: str) -> Callable[[Warehouse], DataFrame]:
         if name in self._builders:
