@@ -35,9 +35,14 @@ def settle(df: DataFrame) -> DataFrame:
     """Write a reduced result once, so that later passes read it back.
 
     Uses the reliable checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; a session without one (as in tests) gets its own.
+    ``spark.checkpoint.dir``. Only a local session (as in tests) gets a folder
+    of its own where none is set.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidewell-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidewell-"))
     return df.checkpoint()

@@ -204,10 +204,9 @@ def near_duplicates(
             .when(F.col("_kind") == "strip_suffix", stripped).otherwise(F.concat(old, F.lit(".")))
         )
 
-    top = df.agg(F.max(key).alias("_top"))
-    copies = df.filter(chosen(key, salt, rate)).crossJoin(F.broadcast(top))
-    copies = copies.withColumns({"_kind": kind, "_original": F.col(key)})
-    copies = copies.withColumns({key: F.col("_top") + 1 + F.col("_original"), name: let(F.col(name), vary)})
+    top = df.agg(F.max(key)).scalar()
+    copies = df.filter(chosen(key, salt, rate)).withColumns({"_kind": kind, "_original": F.col(key)})
+    copies = copies.withColumns({key: top + 1 + F.col("_original"), name: let(F.col(name), vary)})
     tracking = copies.select(
         F.col(key).alias("duplicate_customer_id"), F.col("_original").alias("original_customer_id"),
         F.col("_kind").alias("variation_type"),
@@ -223,9 +222,8 @@ def orphan_fk(
     The ghost id is the row's own key counted on from ``first_ghost``, a
     one-row frame: unique per row, and no row moves.
     """
-    ghost = F.when(chosen(key, salt, rate), F.col("first_ghost") + F.col(key)).otherwise(F.col(foreign))
-    # One aggregate row, so the broadcast has a fixed size.
-    return df.crossJoin(F.broadcast(first_ghost)).withColumn(foreign, ghost).drop("first_ghost")
+    ghost = first_ghost.scalar() + F.col(key)
+    return df.withColumn(foreign, F.when(chosen(key, salt, rate), ghost).otherwise(F.col(foreign)))
 
 
 def customer_ghosts(customers: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewell.functions.ranking import positions
@@ -48,10 +49,9 @@ def _flags(
 
 def outlier(t: Tables, sigmas: float = 3.0) -> DataFrame:
     items = t["order_items"].filter(F.col("unit_price") > 0)
-    upper = items.agg((F.avg("unit_price") + sigmas * F.stddev_pop("unit_price")).alias("upper"))
-    # One aggregate row, so the broadcast has a fixed size.
-    high = items.crossJoin(F.broadcast(upper)).filter(F.col("unit_price") > F.col("upper"))
-    text = F.format_string("unit_price exceeds 3 std devs (threshold: %.2f)", F.col("upper"))
+    upper = items.agg(F.avg("unit_price") + sigmas * F.stddev_pop("unit_price")).scalar()
+    high = items.filter(F.col("unit_price") > upper)
+    text = F.format_string("unit_price exceeds 3 std devs (threshold: %.2f)", upper)
     return _flags(high, "FLG-001", "order_items", "line_id", "outlier", text)
 
 
@@ -201,13 +201,11 @@ def all_flags(t: Warehouse) -> DataFrame:
     """
     found = settle(_union(t))
     numbered = positions(found, ["rule_id", "table_name"], ["record_id", "ordinal"], "_nr")
-    sizes = found.groupBy("rule_id", "table_name").agg(F.count(F.lit(1)).alias("_size"))
-    below = sizes.alias("a").join(
-        sizes.alias("b"),
-        F.struct("b.rule_id", "b.table_name") < F.struct("a.rule_id", "a.table_name"),
-        "left",
-    ).groupBy("a.rule_id", "a.table_name").agg(F.coalesce(F.sum("b._size"), F.lit(0)).alias("_start"))
-    return numbered.join(F.broadcast(below), ["rule_id", "table_name"]).select(
+    before = W.orderBy("rule_id", "table_name").rowsBetween(W.unboundedPreceding, -1)
+    starts = found.groupBy("rule_id", "table_name").agg(F.count(F.lit(1)).alias("_size")).select(
+        "rule_id", "table_name", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+    )
+    return numbered.join(F.broadcast(starts), ["rule_id", "table_name"]).select(
         (F.col("_start") + F.col("_nr")).alias("flag_id"), *FLAG_COLUMNS
     )
 

@@ -78,13 +78,8 @@ def region_case(c: Column | str) -> Column:
 
 def cap_percentile(df: DataFrame, column: str, p: float, name: str) -> DataFrame:
     """NRM-003: add ``name`` = ``column`` capped at its exact p-quantile (in cents)."""
-    cap = quantiles(df.select(cents(column).alias("_cents")), [], "_cents", {"_cap": p})
-    # One aggregate row, so the broadcast has a fixed size.
-    return (
-        df.crossJoin(F.broadcast(cap))
-        .withColumn(name, F.least(F.col(column), F.col("_cap") / 100.0))
-        .drop("_cap")
-    )
+    cap = quantiles(df.select(cents(column).alias("_cents")), [], "_cents", {"_cap": p}).scalar()
+    return df.withColumn(name, F.least(F.col(column), cap / 100.0))
 
 
 def display(df: DataFrame, texts: dict[str, str]) -> DataFrame:

@@ -75,25 +75,26 @@ def _levels(users: DataFrame) -> DataFrame:
 
 def pareto_users(w: Warehouse) -> DataFrame:
     """Users by events, most active first, with running shares."""
-    users = settle(_users(w))
+    return _ranked_users(settle(_users(w)))
+
+
+def _ranked_users(users: DataFrame) -> DataFrame:
     ranked = positions(users.withColumn("_down", -F.col("events")), [], ["_down", "user_id"], "rank")
     above = _levels(users).select("events", "users_above", "events_above")
-    # One aggregate row, so the broadcast has a fixed size.
-    totals = users.agg(n_rows().alias("_n"), F.sum("events").alias("_all"))
     running = F.col("events_above") + F.col("events") * (F.col("rank") - F.col("users_above"))
-    return ranked.join(above, "events").crossJoin(F.broadcast(totals)).select(
+    # ``above`` has at most sqrt(2 * events) rows: 4.5 million for 10**13 events.
+    return ranked.join(F.broadcast(above), "events").select(
         "user_id", "events", "sessions", "rank",
-        percent(running, F.col("_all")).alias("cumulative_pct"),
-        percent(F.col("rank"), F.col("_n")).alias("user_rank_pct"),
+        percent(running, users.agg(F.sum("events")).scalar()).alias("cumulative_pct"),
+        percent(F.col("rank"), users.agg(n_rows()).scalar()).alias("user_rank_pct"),
     )
 
 
 def pareto_sample(w: Warehouse, points: int = 200) -> DataFrame:
     """Every k-th ranked user, k = max(1, users // points): a curve to draw."""
-    ranked = pareto_users(w)
-    # Users are counted from the ranks themselves; one row, fixed size.
-    total = _users(w).agg(F.greatest(F.lit(1), F.floor(n_rows() / points)).alias("_k"))
-    picked = ranked.crossJoin(F.broadcast(total)).filter(F.pmod(F.col("rank") - 1, F.col("_k")) == 0)
+    users = settle(_users(w))
+    step = users.agg(F.greatest(F.lit(1), F.floor(n_rows() / points))).scalar()
+    picked = _ranked_users(users).filter(F.pmod(F.col("rank") - 1, step) == 0)
     return picked.select("rank", "user_rank_pct", "cumulative_pct")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewell.functions.dates import month_key, year_quarter
@@ -34,11 +35,9 @@ def saas_kpis(w: Warehouse) -> DataFrame:
 def saas_status_churn(w: Warehouse) -> DataFrame:
     """Count by status with the lifetime churn rate on every row."""
     counted = w["v_saas_customers_clean"].groupBy("status").agg(n_rows().alias("n"))
-    # One aggregate row, so the broadcast has a fixed size.
-    total = w["v_saas_customers_clean"].agg(
-        percent(count_if(F.col("status") == "churned"), n_rows()).alias("lifetime_churn_pct")
-    )
-    return counted.crossJoin(F.broadcast(total))
+    whole = W.partitionBy()  # one row per status
+    churned = F.coalesce(F.sum(F.when(F.col("status") == "churned", F.col("n"))).over(whole), F.lit(0))
+    return counted.withColumn("lifetime_churn_pct", percent(churned, F.sum("n").over(whole)))
 
 
 def plan_status_metrics(w: Warehouse) -> DataFrame:
