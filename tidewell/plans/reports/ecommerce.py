@@ -11,6 +11,7 @@ from tidewell.functions.numbers import (
     cents, fixed, fixed_avg, money_avg, money_sum, pct_change, percent, ratio, round_half_up,
 )
 from tidewell.functions.ranking import quantiles
+from tidewell.functions.session import settle
 from tidewell.plans.reports.shared import money_share_of, n_rows, share_of
 from tidewell.plans.views import order_lines
 from tidewell.sources.warehouse import Warehouse
@@ -118,7 +119,7 @@ def discount_by_segment(w: Warehouse) -> DataFrame:
         w["v_customers_clean"].select("customer_id", "segment"), "customer_id"
     ).select("segment", fixed("discount_pct", 4).alias("_bp"))
     # Few thousand distinct steps per segment, counted once for both results.
-    counted = rows.filter(F.col("_bp").isNotNull()).groupBy("segment", "_bp").agg(n_rows().alias("_times"))
+    counted = settle(rows.filter(F.col("_bp").isNotNull()).groupBy("segment", "_bp").agg(n_rows().alias("_times")))
     spread = quantiles(
         counted, ["segment"], "_bp", {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}, "_times"
     )
