@@ -1,7 +1,5 @@
 """Session settings the plans rely on."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits a join partition that one hot key has blown up. Without the
@@ -32,17 +30,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a reduced result once, so that later passes read it back.
+    """Write a result once, so that later passes read it back.
 
     Uses the reliable checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Only a local session (as in tests) gets a folder
-    of its own where none is set.
+    ``spark.checkpoint.dir``. Where that is unset, a folder inside the
+    warehouse serves, the other place that all executors share.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidewell-"))
+        conf = df.sparkSession.conf
+        warehouse = conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
     return df.checkpoint()
