@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, LongType, StructField, StructType
 
@@ -17,6 +18,17 @@ SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut batches into runs of rows with at most ``most`` bytes in a string or binary column, a longer value alone."""
+    for batch in batches:
+        upto = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(column)).cast("float64").to_numpy(zero_copy_only=False)))
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
