@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import bpe, counts, mixing, neardup, shards
+from tidewell.llm import bpe, counts, mixing, neardup, quality, shards
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER).withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     items = table(spark, sf_dir, "documents").select(
@@ -52,6 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
+    "op3_quality": op3_quality,
     "op4_shards": op4_shards,
     "op5_minhash": op5_minhash,
     "op10_mixing": op10_mixing,
