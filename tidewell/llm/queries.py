@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import bpe, counts, mixing, neardup, quality, shards
+from tidewell.llm import ann, bpe, counts, kdtree, mixing, neardup, quality, shards
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +49,14 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda key: F.pmod(key, F.lit(20)) == 0, k=20)
+
+
+def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.exact_top_k(table(spark, sf_dir, "embeddings"), lambda key: F.pmod(key, F.lit(50)) == 0, k=5)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -59,5 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_shards": op4_shards,
     "op5_minhash": op5_minhash,
+    "op7_ann": op7_ann,
+    "op8_kdtree": op8_kdtree,
     "op10_mixing": op10_mixing,
 }
