@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from tidewell.functions.session import settle
-from tidewell.llm.common import fields, shuffle_partitions
+from tidewell.llm.common import by_bytes, fields, shuffle_partitions
 
 # Characters of a chunk, and of the text after it that it is pre-tokenised with.
 CHUNK, OVERLAP = 1 << 16, 1 << 10
@@ -32,7 +32,7 @@ def _encode_rows(rows: DataFrame, path: str, pattern: str) -> DataFrame:
         import tiktoken
 
         merges = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
-        for batch in batches:
+        for batch in by_bytes(batches):
             ids = pa.array([merges.encode_ordinary(text or "") for text in batch.column("text").to_pylist()], pa.list_(pa.int32()))
             kept = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], ids], names=[*kept, "ids"])
