@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.session import settle
-from tidewell.llm.common import by_bytes
+from tidewell.llm.common import by_bytes, remainder
 
 # Bytes are counted in these classes; every byte outside ASCII is one class.
 _CLASSES = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n", b".,;:", b"!", b"?", b"|", b"#$%&*@^~",
@@ -205,11 +205,6 @@ def fit(rows: DataFrame) -> Model:
     return model
 
 
-def remainder(doc_id: Column, by: int) -> Column:
-    """crc32 of the id's decimal text modulo ``by``; that of the empty text for a null id."""
-    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(by))
-
-
 def score(docs: DataFrame, labels: DataFrame, held_out: int = 5, threshold: float = 0.3) -> DataFrame:
     """Quality of every document: ``doc_id, held_out, score, predicted``, a row per row of ``docs`` (``doc_id, text``).
 

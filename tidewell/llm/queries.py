@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import ann, bpe, counts, kdtree, mixing, neardup, quality, shards
+from tidewell.llm import ann, bpe, counts, ctw, kdtree, mixing, neardup, quality, shards
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +57,10 @@ def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.exact_top_k(table(spark, sf_dir, "embeddings"), lambda key: F.pmod(key, F.lit(50)) == 0, k=5)
 
 
+def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -69,5 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash": op5_minhash,
     "op7_ann": op7_ann,
     "op8_kdtree": op8_kdtree,
+    "op9_ctw": op9_ctw,
     "op10_mixing": op10_mixing,
 }
