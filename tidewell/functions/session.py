@@ -29,16 +29,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write a result once, so that later passes read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The reliable checkpoint folder, which all executors share.
 
-    Uses the reliable checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Where that is unset, a folder inside the
-    warehouse serves, the other place that all executors share.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    folder inside the warehouse serves, the other place that is shared.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        conf = df.sparkSession.conf
-        warehouse = conf.get("spark.sql.warehouse.dir").rstrip("/")
-        context.setCheckpointDir(conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a result once to the shared folder, so that later passes read it back."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
