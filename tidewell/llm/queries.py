@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import ann, bpe, counts, ctw, kdtree, mixing, neardup, quality, shards
+from tidewell.functions.session import shared_folder
+from tidewell.llm import ann, bpe, counts, ctw, kdtree, mixing, neardup, ordering, quality, shards
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CONTEXT_TOKENS = 1024
+END_OF_TEXT = 50256  # free in the rank file
+ORDER_KEY = 42
 SHARDS = 40
 
 
@@ -49,6 +53,19 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per record written: its slot and place, and digests of what was read back from the shards."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    path = f"{shared_folder(spark)}/training-order-{uuid.uuid4().hex}"
+    made = ordering.materialise(encoded, path, length=CONTEXT_TOKENS, key=ORDER_KEY, end_id=END_OF_TEXT)
+    row = F.col("slot") - F.col("shard").cast("long") * made["stride"]
+    written = spark.read.schema("slot long, sequence long, n_tokens int, record binary, shard int").parquet(path)
+    return written.select(
+        "slot", "sequence", "shard", row.alias("row_in_shard"), (row * (2 * CONTEXT_TOKENS)).alias("byte_offset"), "n_tokens",
+        F.octet_length("record").alias("n_bytes"), F.sha2("record", 256).alias("record_sha256"),
+    )
+
+
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), lambda key: F.pmod(key, F.lit(20)) == 0, k=20)
 
@@ -71,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_shards": op4_shards,
     "op5_minhash": op5_minhash,
+    "op6_training_order": op6_training_order,
     "op7_ann": op7_ann,
     "op8_kdtree": op8_kdtree,
     "op9_ctw": op9_ctw,
