@@ -9,6 +9,8 @@ from tidewell.llm.common import in_order, running, word_count
 
 # The hash has 60 bits, read in five digits of 12.
 DIGIT_BITS, DIGITS = 12, 5
+# More sources than this are not broadcast to the rows.
+FEW_SOURCES = 10_000
 
 
 def row_hash(doc_id: Column, text: Column) -> Column:
@@ -47,33 +49,27 @@ def targets(sources: DataFrame, weights: list[float], share: float, most: float)
     return ranked.withColumn("target", F.least(cap, F.lit(per_weight) * F.col("weight")))
 
 
-def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """How many words of each document the mix takes.
+def plan(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """What each source's rows are taken by: ``source, source_size, target, _whole, _threshold``, a row per source; settled.
 
-    Returns ``doc_id, size, source_size, target, taken``, a row per row of
-    ``docs`` (``doc_id, text, source``). A source's whole epochs go to all its
-    rows; the rest of its target goes to the rows whose hash lies below a
-    threshold. A histogram over source and first digit of the hash finds the
-    digit in which the threshold falls; only that bucket's rows are counted
-    again, by the next digit, down to one hash value, which is taken if that
-    brings the sum nearer to the target. Larger targets give supersets.
-
-    Null text: size 0. Null source: a source of its own, last in turn. Null
-    ids: hashed by the text. Equal rows share a hash and are taken together.
-    Other columns are ignored; an empty table gives an empty result.
+    A source's whole epochs go to all its rows; the rest of its target goes to
+    the rows whose hash lies below a threshold. A histogram over source and
+    first digit of the hash finds the digit in which the threshold falls; only
+    that bucket's rows are counted again, by the next digit, down to one hash
+    value, which is taken if that brings the sum nearer to the target. Larger
+    targets give supersets.
     """
-    rows = settle(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("_hash")))
+    rows = settle(docs.select("source", word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("_hash")))
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), list(weights), share, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     sources = settle(sources.select("source", "_rank", "source_size", "target", whole.alias("_whole")))
-    named = sources.select(F.col("source").alias("_source"), "_rank")
-    rows = settle(rows.join(named, rows["source"].eqNullSafe(named["_source"])).select("doc_id", "size", "_hash", "_rank"))
+    ranked = with_source(rows, sources.select("source", "_rank")).where("size > 0").select("size", "_hash", "_rank")
 
     # Per source: the hash digits settled so far and the budget left below them.
     state = sources.select("_rank", F.lit(0).cast("long").alias("_prefix"), (F.col("target") - F.col("_whole") * F.col("source_size")).alias("_left"))
     for digit in range(DIGITS):
         below = DIGIT_BITS * (DIGITS - 1 - digit)
-        inside = rows.where("size > 0").join(state, "_rank").where(F.shiftright("_hash", below + DIGIT_BITS) == F.col("_prefix"))
+        inside = ranked.join(state, "_rank").where(F.shiftright("_hash", below + DIGIT_BITS) == F.col("_prefix"))
         buckets = inside.groupBy("_rank", "_left", F.shiftright("_hash", below).alias("_prefix")).agg(F.sum("size").alias("_size"))
         earlier = Window.partitionBy("_rank").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
         buckets = buckets.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
@@ -81,6 +77,43 @@ def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, m
         state = settle(edge.select("_rank", "_prefix", (F.col("_left") - F.col("_before")).alias("_left"), "_size"))
 
     threshold = state.select("_rank", (F.col("_prefix") + F.when(2 * F.col("_left") >= F.col("_size"), 1).otherwise(0)).alias("_threshold"))
-    plan = sources.join(threshold, "_rank", "left").drop("source")
-    again = F.when(F.col("_hash") < F.col("_threshold"), 1).otherwise(0)
-    return rows.join(plan, "_rank").select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("_whole") + again)).alias("taken"))
+    return settle(sources.join(threshold, "_rank", "left").drop("_rank"))
+
+
+def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Join rows to one row per source, null to null; broadcast if there are at most FEW_SOURCES."""
+    named = sources.withColumnRenamed("source", "_source")
+    if named.count() <= FEW_SOURCES:
+        named = F.broadcast(named)
+    return rows.join(named, rows["source"].eqNullSafe(named["_source"])).drop("_source")
+
+
+def copies() -> Column:
+    """How often the mix takes a row that ``plan`` was joined to."""
+    again = F.when(row_hash(F.col("doc_id"), F.col("text")) < F.col("_threshold"), 1).otherwise(0)
+    return F.col("_whole") + again
+
+
+def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """How many words of each document the mix takes, by the thresholds of ``plan``.
+
+    Returns ``doc_id, size, source_size, target, taken``, a row per row of
+    ``docs`` (``doc_id, text, source``). Null text: size 0. Null source: a
+    source of its own, last in turn. Null ids: hashed by the text. Equal rows
+    share a hash and are taken together. Other columns are ignored; an empty
+    table gives an empty result.
+    """
+    rows = docs.select("doc_id", "source", "text", word_count(F.col("text")).alias("size"))
+    return with_source(rows, plan(docs, weights, share, most)).select("doc_id", "size", "source_size", "target", (F.col("size") * copies()).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as the mix takes it, with the columns it had.
+
+    Texts without words take nothing from any budget and follow the whole
+    epochs of their source.
+    """
+    chosen = plan(docs, weights, share, most).select("source", "_whole", "_threshold")
+    times = F.explode(F.sequence(F.lit(1).cast("long"), copies()))
+    taken = with_source(docs, chosen).where(copies() > 0).withColumn("_copy", times)
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

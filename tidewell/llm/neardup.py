@@ -252,3 +252,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     all_ = prints.drop("_sig").join(of_set, ["_d1", "_d2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return all_.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each class of ``near_duplicates``, the one with the smallest id, with the columns it had."""
+    kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
+    known = docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return known.union(docs.where("doc_id is null"))
