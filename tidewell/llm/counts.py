@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType
 
 from tidewell.functions.session import settle
-from tidewell.llm.common import blank_parts, fields, safe_slices, shuffle_partitions
+from tidewell.llm.common import blank_parts, by_bytes, fields, safe_slices, shuffle_partitions
 
 # Bytes of text per call of the library, characters of a slice of a long text,
 # and results remembered per worker.
@@ -45,27 +45,13 @@ def _counter(path: str):
     return count
 
 
-def _by_bytes(texts: list[str], most: int) -> Iterator[list[str]]:
-    """Consecutive texts of at most ``most`` characters together, a longer one alone."""
-    batch, held = [], 0
-    for text in texts:
-        if batch and held + len(text) > most:
-            yield batch
-            batch, held = [], 0
-        batch.append(text)
-        held += len(text)
-    if batch:
-        yield batch
-
-
 def _count_rows(rows: DataFrame, path: str) -> DataFrame:
     """Replace ``text`` by ``n_tokens``; the other columns pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(path)
-        for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            found = [n for part in _by_bytes(texts, BATCH_BYTES) for n in count(part)]
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
+            found = count([text or "" for text in batch.column("text").to_pylist()])
             kept = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found, pa.int64())], names=[*kept, "n_tokens"])
 
