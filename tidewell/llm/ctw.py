@@ -78,7 +78,7 @@ def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Zeros and ones seen at the 255 binary nodes of the byte, the node of a prefix of j bits at 2**j - 1 + prefix."""
     zeros, ones = [], []
     for j in range(8):
-        halves = counts.reshape(len(counts), 1 << j, 2, -1).sum(axis=3)
+        halves = counts.reshape(len(counts), 1 << j, 2, 1 << 7 - j).sum(axis=3)
         zeros.append(halves[:, :, 0])
         ones.append(halves[:, :, 1])
     return np.concatenate(zeros, axis=1), np.concatenate(ones, axis=1)
@@ -164,7 +164,7 @@ def weigh(nodes: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
         total = np.zeros((len(counts), 256))
         for j in range(8):
             p = one[:, (1 << j) - 1:(1 << j + 1) - 1]
-            either = np.stack([1 - p, p], axis=2).reshape(len(counts), -1)
+            either = np.stack([1 - p, p], axis=2).reshape(len(counts), 2 << j)
             total += np.repeat(np.log10(either), 256 >> j + 1, axis=1)
         log10[starts[d]:starts[d + 1]] = total
     return Tree(child, log10)

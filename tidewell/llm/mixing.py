@@ -88,9 +88,9 @@ def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.join(named, rows["source"].eqNullSafe(named["_source"])).drop("_source")
 
 
-def copies() -> Column:
+def copies(doc_id: str = "doc_id", text: str = "text") -> Column:
     """How often the mix takes a row that ``plan`` was joined to."""
-    again = F.when(row_hash(F.col("doc_id"), F.col("text")) < F.col("_threshold"), 1).otherwise(0)
+    again = F.when(row_hash(F.col(doc_id), F.col(text)) < F.col("_threshold"), 1).otherwise(0)
     return F.col("_whole") + again
 
 
@@ -114,6 +114,7 @@ def mixed(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5,
     epochs of their source.
     """
     chosen = plan(docs, weights, share, most).select("source", "_whole", "_threshold")
-    times = F.explode(F.sequence(F.lit(1).cast("long"), copies()))
-    taken = with_source(docs, chosen).where(copies() > 0).withColumn("_copy", times)
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row travels as one value, so no column of it can clash
+    taken = with_source(docs.select(F.struct("*").alias("_doc"), "source"), chosen)
+    times = copies("_doc.doc_id", "_doc.text")
+    return taken.where(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).select("_doc.*")

@@ -1,3 +1,79 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_COMPONENTS = rf"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+    FROM worded
+), sized AS (
+    SELECT doc_id, len(s) AS n, s FROM shingled
+), spread AS (
+    SELECT doc_id, n, unnest(s) AS shingle FROM sized
+), linked AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM spread a JOIN spread b USING (shingle) WHERE a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT a, b FROM linked UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), least AS (
+    SELECT a, min(b) AS low FROM reach GROUP BY a
+)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM sized LEFT JOIN least ON a = doc_id
+"""
+
+_EXACT_TOP = """
+WITH whole AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER nearest AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW nearest AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
+# Saturated sources are the first in order of size per weight: the budget per
+# unit of weight is the first for which the next source is not above its cap.
+_MIXED = rf"""
+WITH rows_ AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
+        CAST('0x' || substr(md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+    FROM documents
+), sized AS (
+    SELECT source, sum(size) AS source_size FROM rows_ GROUP BY source
+), ranked AS (
+    SELECT source, CAST(source_size AS DOUBLE) AS s,
+        [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM sized
+), ordered AS (
+    SELECT *, row_number() OVER (ORDER BY s / w, source) AS k FROM ranked
+), levels AS (
+    SELECT *, (1.5 * (SELECT sum(s) FROM ranked) - 2 * coalesce(sum(s) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ordered
+), chosen AS (
+    SELECT level FROM levels WHERE level * w <= 2 * s ORDER BY k LIMIT 1
+), planned AS (
+    SELECT source, s, least(2 * s, w * (SELECT level FROM chosen)) AS target FROM ranked
+), budget AS (
+    SELECT *, CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END AS whole FROM planned
+), summed AS (
+    SELECT r.*, b.s, b.target, b.whole, b.target - b.whole * b.s AS left_,
+        coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS upto,
+        sum(r.size) OVER (PARTITION BY r.source, r.h) AS tied
+    FROM rows_ r JOIN budget b ON r.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target,
+    CAST(size * (whole + CASE WHEN upto <= left_ OR (upto - tied <= left_ AND 2 * (left_ - (upto - tied)) >= tied) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM summed
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_minhash": _COMPONENTS,
+    "op8_kdtree": _EXACT_TOP,
+    "op10_mixing": _MIXED,
+}
