@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 
 def rnd(x: str, digits: int) -> str:
@@ -41,20 +42,26 @@ def change(now: str, before: str) -> str:
     return f"((({now})::DOUBLE-({before}))/nullif(({before})::DOUBLE,0)*100)"
 
 
+def draw(key: str, salt: str) -> str:
+    p, q = PRIMES
+    x = f"((({key})::BIGINT%{p}*48271+{zlib.crc32(salt.encode())})%{p})"
+    return f"({x}*1226874159%{q}*742938285%{p})"
+
+
 def chosen(key: str, salt: str, rate: float) -> str:
-    return f"(md5('{salt}:'||{key})<'{format(int(rate * 2**32), '08x')}')"
+    return f"({draw(key, salt)}<{int(rate * 2147483647)})"
 
 
 def drawn(key: str, salt: str, low: float, high: float) -> str:
     return f"({chosen(key, salt, high)} AND NOT {chosen(key, salt, low)})"
 
 
-def draw(key: str, salt: str) -> str:
-    return f"(('0x'||substr(md5('{salt}:'||{key}),9,8))::BIGINT)"
+def number(key: str, salt: str) -> str:
+    return f"({draw(key, salt)}*16807%2147483647)"
 
 
 def bucket(key: str, salt: str, n: int) -> str:
-    return f"({draw(key, salt)}%{n})"
+    return f"({number(key, salt)}%{n})"
 
 
 def hash60(*cols: str) -> str:

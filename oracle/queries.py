@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.dialect import (
     bucket, change, chosen, drawn, favg, fixed, iavg, mavg, month, msum, pct, qtr, rat, rnd, with_tables, year, yq,
 )
@@ -105,7 +107,8 @@ def mojibake(table: str, key: str, column: str, source: str) -> str:
 
 
 F: dict[str, str] = {}
-T["x_limit"] = """SELECT avg(unit_price)+3*stddev_pop(unit_price) AS upper FROM d_order_items WHERE unit_price>0"""
+T["x_limit"] = f"""SELECT (m+3*sqrt(greatest(q-m*m,0)))/100 AS upper FROM (SELECT sum(c)::DOUBLE/count(*) AS m,
+    sum(c::HUGEINT*c)::DOUBLE/count(*) AS q FROM (SELECT {fixed('unit_price')} AS c FROM d_order_items WHERE unit_price>0))"""
 F["outlier"] = flag(
     "FLG-001", "order_items", "line_id", "outlier",
     "'unit_price exceeds 3 std devs (threshold: '||printf('%.2f',upper)||')'",
@@ -113,7 +116,7 @@ F["outlier"] = flag(
 )
 F["duplicate_tracked"] = flag(
     "FLG-002", "customers", "customer_id", "duplicate_suspect",
-    "'Near-duplicate record (tracked in _messiness_duplicates)'",
+    "'Near-duplicate record (tracked in duplicate_tracking)'",
     "d_duplicate_tracking JOIN d_customers ON duplicate_customer_id=customer_id",
 )
 F["duplicate_original"] = flag(
@@ -159,7 +162,7 @@ T["x_flags"] = " UNION ALL ".join(F.values())
 for _n, _sql in F.items():
     if _n != "mojibake":
         Q[f"flg_{_n}"] = f"SELECT rule_id, table_name, record_id, flag_type, description FROM ({_sql})"
-T["x_garbled"] = f"""SELECT activity_id, CASE WHEN {chosen('activity_id', 'mojibake', 0.2)}
+T["x_garbled"] = f"""SELECT activity_id, CASE WHEN {drawn('activity_id', 'company_name', 0.0, 0.2)}
     THEN {garbled('activity_id', 'notes').split('THEN ')[1].split(' ELSE')[0]} ELSE notes END AS notes FROM b_activities"""
 Q["flg_mojibake"] = f"""SELECT rule_id, table_name, record_id, flag_type, description
     FROM ({mojibake('activities', 'activity_id', 'notes', 'x_garbled')})"""
@@ -189,6 +192,8 @@ _COLUMNS = {
     "order_items": "line_id order_id product_id quantity unit_price line_total",
     "returns": "return_id order_id return_date reason refund_amount status",
     "support_tickets": "ticket_id saas_customer_id created_date resolved_date category priority resolution_hours",
+    "usage_events": "event_id user_id saas_customer_id event_date event_type feature_module session_id duration_seconds",
+    "feature_adoption": "adoption_id saas_customer_id feature_module first_used_date last_used_date total_events monthly_active_users adoption_depth",
     "activities": "activity_id account_id activity_date activity_type subject notes outcome",
     "accounts": "account_id customer_id owner account_tier health_score last_contact_date next_renewal_date",
 }
@@ -242,7 +247,7 @@ Q["prf_page_callouts"] = " UNION ALL ".join(
 Q["deg_null_columns"] = "SELECT ticket_id, resolved_date, resolution_hours FROM d_support_tickets"
 Q["deg_name_variation"] = f"SELECT customer_id, {varied('customer_id', 'company_name')} AS company_name FROM b_customers"
 Q["deg_region_variant"] = f"SELECT customer_id, {misspelt('customer_id', 'region')} AS region FROM b_customers"
-Q["deg_whitespace"] = f"SELECT activity_id, {loosened('activity_id', 'notes')} AS notes FROM b_activities"
+Q["deg_whitespace"] = f"SELECT activity_id, {loosened('activity_id', 'notes', 'null.notes', 0.18, 0.24)} AS notes FROM b_activities"
 T["x_dup_new"] = f"""SELECT c.*, ['upper','lower','strip_suffix','add_period'][{bucket('customer_id', 'duplicate', 4)}+1] AS kind,
     (SELECT max(customer_id) FROM b_customers)+1+customer_id AS new_id,
     replace(replace(replace(replace(company_name,' Inc.',''),' Corp.',''),' LLC',''),' Ltd.','') AS stripped
@@ -274,7 +279,6 @@ def changed(before: str, after: str, key: str, column: str) -> str:
         WHERE p.{column} IS DISTINCT FROM q.{column})"""
 
 
-T["x_garbled_names"] = f"SELECT * REPLACE ({garbled('customer_id', 'company_name')} AS company_name) FROM x_spaced"
 _REPORT = [
     ("nulled", f"{t}.{c}", changed(f"b_{t}", f"d_{t}", k, c)) for t, k, c in (
         ("orders", "order_id", "ship_date"), ("returns", "return_id", "reason"),
@@ -295,7 +299,7 @@ _REPORT = [
     ("numeric", "zero_amounts", changed("b_order_items", "x_zeroed", "line_id", "unit_price")),
     ("numeric", "negative_amounts", changed("x_zeroed", "x_negated", "line_id", "unit_price")),
     ("numeric", "extreme_outliers", changed("x_negated", "d_order_items", "line_id", "unit_price")),
-    ("encoding", "mojibake", changed("x_spaced", "x_garbled_names", "customer_id", "company_name")),
+    ("encoding", "mojibake", changed("x_doubled", "d_customers", "customer_id", "company_name")),
     ("encoding", "truncated", changed("x_act_spaced", "d_activities", "activity_id", "notes")),
     ("duplicates", "customers", "(SELECT count(*) FROM x_copies)"),
     ("orphans", "orders.customer_id", changed("b_orders", "d_orders", "order_id", "customer_id")),
@@ -658,4 +662,32 @@ Q["val_module_use"] = f"""SELECT 'module_events' AS metric, e::DOUBLE AS actual,
 Q["val_user_concentration"] = f"""SELECT 'top20_share_pct' AS metric, top_share_pct AS actual, 60.0::DOUBLE AS target,
     top_share_pct>=60 AS ok FROM ({top20('b_usage_events')})"""
 
+# -- reports over degraded tables ------------------------------------------------------
+
+
+def over_degraded(sql: str) -> str:
+    """The same SQL with d_* and dv_* tables for b_* and v_*, and helpers built on those alike."""
+
+    def other(m: re.Match) -> str:
+        kind, name = m.groups()
+        if kind == "x":
+            if over_degraded(T.get(f"x_{name}", "")) == T.get(f"x_{name}", ""):
+                return m[0]
+            T[f"x_degraded_{name}"] = over_degraded(T[f"x_{name}"])
+            return f"x_degraded_{name}"
+        target = f"{'d' if kind == 'b' else 'dv'}_{name}"
+        return target if target in T else m[0]
+
+    return re.sub(r"\b(b|v|x)_([a-z0-9_]+)\b", other, sql)
+
+
+for _name in (
+    "exec_kpis", "monthly_revenue", "yoy_performance", "region_share", "region_year_share", "customer_mix",
+    "status_by_segment", "acquisition_monthly", "ecommerce_kpis", "quarterly_revenue", "q2_category_yoy",
+    "category_monthly", "product_mix", "top_subcategories", "category_summary", "discount_by_segment",
+    "monthly_return_rate", "return_reasons", "returns_by_category", "payments_kpis", "dtp_monthly", "dtp_hist",
+    "segment_method_dtp", "segment_vs_terms", "method_mix", "quarterly_ar",
+):
+    Q[f"{_name}_governed"] = over_degraded(Q[_name])
+
 ORACLE: dict[str, str] = {key: with_tables(body, T) for key, body in Q.items()}

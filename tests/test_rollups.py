@@ -85,10 +85,11 @@ def test_month_spine(spark):
 
 
 def test_period_tags(spark):
-    periods = rollups.period_table(spark, parameter="churn_multiplier")
+    named = {"spring": {"quarter": (2025, 2), "churn_multiplier": 1.4}, "summer": {"quarter": (2025, 3)}}
+    periods = rollups.period_table(spark, named, "churn_multiplier")
     df = spark.createDataFrame([(D(2025, 5, 1),), (D(2022, 5, 1),)], "d date")
     rows = {r.d: (r.period, r.value) for r in rollups.tag_periods(df, "d", periods).collect()}
-    assert rows == {D(2025, 5, 1): ("q2_2025_tariff_volatility", "1.4"), D(2022, 5, 1): (None, None)}
+    assert rows == {D(2025, 5, 1): ("spring", "1.4"), D(2022, 5, 1): (None, None)}
 
 
 def test_reports(business):

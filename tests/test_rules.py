@@ -63,17 +63,6 @@ def test_clean_plus_excluded_is_raw_and_views_are_idempotent(business):
     assert ids(again["v_orders_clean"], "order_id") == ids(business["v_orders_clean"], "order_id")
 
 
-def test_max_customer_id(spark):
-    from tests.fixtures import ROWS, warehouse
-    from tidewell.sources.warehouse import Rules, Warehouse
-
-    base = warehouse(spark)
-    bounded = Warehouse(spark, base._builders, Rules(cutoff=D(2025, 12, 31), max_customer_id=1))
-    assert ids(bounded["v_orders_clean"], "order_id") == [10]
-    assert ids(bounded["v_customers_clean"], "customer_id") == [1]
-    assert len(ROWS["customers"]) == base["customers"].count()
-
-
 def test_lifted_rule_is_labelled(business):
     rules = {"EX-005": lambda df: exclude.exclude_future(df, "order_date", dt.date(2025, 12, 31))}
     assert exclude.govern(business["orders"], rules).select("data_scope").distinct().collect()[0][0] == "governed"

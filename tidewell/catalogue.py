@@ -164,7 +164,7 @@ CLEAN_VIEWS["cv_reconcile"] = dirty(views.reconcile)
 
 def _mojibake_notes(w: Warehouse) -> DataFrame:
     """Company names here are plain ASCII; document texts carry accents."""
-    garbled = w["activities"].withColumn("notes", degrade.garbled("activity_id", "notes", 0.2))
+    garbled = w["activities"].withColumn("notes", degrade.garbled("activity_id", "notes", (0.0, 0.2)))
     found = flags.mojibake({"activities": garbled}, "activities", "activity_id", "notes")
     return found.select(*flags.FLAG_COLUMNS)
 
@@ -194,7 +194,10 @@ FLAGS |= {
 
 # -- profiling --------------------------------------------------------------------
 
-PROFILED = ("customers", "orders", "order_items", "returns", "support_tickets", "activities", "accounts")
+PROFILED = (
+    "customers", "orders", "order_items", "returns", "support_tickets", "usage_events", "feature_adoption", "activities",
+    "accounts",
+)
 
 
 def _over(tables: tuple[str, ...], f: Callable[[DataFrame, str], DataFrame]) -> Query:
@@ -234,7 +237,7 @@ PROFILES: dict[str, Query] = {
     ),
     "prf_encoding_counts": clean(
         lambda w: profile.encoding_counts(
-            w["activities"].withColumn("notes", degrade.garbled("activity_id", "notes", 0.2)), "notes"
+            w["activities"].withColumn("notes", degrade.garbled("activity_id", "notes", (0.0, 0.2))), "notes"
         )
     ),
     "prf_future_counts": dirty(lambda w: profile.future_counts({t: w[t] for t, _ in DATED}, DATED, w.rules.cutoff)),
@@ -273,7 +276,9 @@ DEGRADATIONS: dict[str, Query] = {
     ),
     "deg_name_variation": _edited("customers", "customer_id", "company_name", degrade.varied_name),
     "deg_region_variant": _edited("customers", "customer_id", "region", degrade.region_variant),
-    "deg_whitespace": _edited("activities", "activity_id", "notes", degrade.whitespace),
+    "deg_whitespace": _edited(
+        "activities", "activity_id", "notes", lambda k, c: degrade.whitespace(k, c, degrade.NOTES_SPACE_RANGE, "null.notes")
+    ),
     "deg_near_duplicates": clean(_near_duplicates),
     "deg_shift_dates": _edited("payments", "payment_id", "payment_date", degrade.shifted_date),
     "deg_year_typo": _edited(
@@ -397,6 +402,21 @@ REPORTS |= {
     "null_notes_rate": dirty(crm.null_notes_rate),
 }
 
+# The same reports as users meet them: over degraded tables, through the governed views.
+GOVERNED: dict[str, Query] = {
+    f"{f.__name__}_governed": dirty(f)
+    for f in (
+        executive.exec_kpis, executive.monthly_revenue, executive.yoy_performance, executive.region_share,
+        executive.region_year_share, executive.customer_mix, executive.status_by_segment,
+        executive.acquisition_monthly,
+        ecommerce.ecommerce_kpis, ecommerce.quarterly_revenue, ecommerce.q2_category_yoy, ecommerce.category_monthly,
+        ecommerce.product_mix, ecommerce.top_subcategories, ecommerce.category_summary, ecommerce.discount_by_segment,
+        ecommerce.monthly_return_rate, ecommerce.return_reasons, ecommerce.returns_by_category,
+        payments.payments_kpis, payments.dtp_monthly, payments.dtp_hist, payments.segment_method_dtp,
+        payments.segment_vs_terms, payments.method_mix, payments.quarterly_ar,
+    )
+}
+
 CHECKS: dict[str, Query] = {
     "val_row_counts": dirty(calibrate.row_counts),
     "val_month_multiplier": clean(calibrate.month_multiplier),
@@ -411,5 +431,6 @@ CHECKS: dict[str, Query] = {
 }
 
 QUERIES: dict[str, Query] = {
-    **EXCLUSIONS, **NORMALISATIONS, **CLEAN_VIEWS, **FLAGS, **PROFILES, **DEGRADATIONS, **DERIVED, **REPORTS, **CHECKS,
+    **EXCLUSIONS, **NORMALISATIONS, **CLEAN_VIEWS, **FLAGS, **PROFILES, **DEGRADATIONS, **DERIVED, **REPORTS,
+    **GOVERNED, **CHECKS,
 }

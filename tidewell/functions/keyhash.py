@@ -1,47 +1,53 @@
 """Deterministic row choice from the primary key.
 
-A row is chosen when the first 32 bits of md5(salt:key) fall under the rate.
-The choice depends on nothing but the key, so a recomputed task picks the same
-rows, and two salts choose independently of each other.
+A row is chosen when its draw falls under the rate. A draw is plain arithmetic
+on a whole-numbered key, so it stays inside generated code and costs little
+where a filter copies it; it depends on nothing but key and salt, so a
+recomputed task picks the same rows.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewell.functions.numbers import as_col
 
-
-def digest(key: Column | str, salt: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{salt}:"), as_col(key).cast("string")).cast("binary"))
+# Factors under two primes in turn: the change of modulus breaks up the even
+# steps that neighbouring keys would take under one. The key is read once.
+PRIME, OTHER_PRIME = 2147483647, 2147483629
+FACTORS, SECOND = (48271, 1226874159, 742938285), 16807
 
 
-def threshold(rate: float) -> str:
-    return format(int(rate * 2**32), "08x")
+def draw(key: Column | str, salt: str) -> Column:
+    """A number from 0 to PRIME - 1."""
+    first, second, third = FACTORS
+    x = (as_col(key).cast("bigint") % F.lit(PRIME) * F.lit(first) + F.lit(zlib.crc32(salt.encode()))) % F.lit(PRIME)
+    return x * F.lit(second) % F.lit(OTHER_PRIME) * F.lit(third) % F.lit(PRIME)
 
 
 def chosen(key: Column | str, salt: str, rate: float) -> Column:
-    # Lower-case hex sorts like the number it spells.
-    return digest(key, salt) < F.lit(threshold(rate))
+    return draw(key, salt) < F.lit(int(rate * PRIME))
 
 
 def drawn(key: Column | str, salt: str, low: float, high: float) -> Column:
-    """True for keys whose first 32 bits fall in [low, high) of their range.
+    """True for keys whose draw falls in [low, high) of its range.
 
-    Rules that share a salt take neighbouring ranges: one digest serves all,
-    and no row is hit twice.
+    Rules that share a salt take neighbouring ranges: one draw serves all, and
+    no row is hit twice.
     """
-    return (digest(key, salt) < F.lit(threshold(high))) & (digest(key, salt) >= F.lit(threshold(low)))
+    return (draw(key, salt) < F.lit(int(high * PRIME))) & (draw(key, salt) >= F.lit(int(low * PRIME)))
 
 
-def draw(key: Column | str, salt: str) -> Column:
-    """A number of 32 bits that does not depend on whether the row is chosen."""
-    return F.conv(F.substring(digest(key, salt), 9, 8), 16, 10).cast("bigint")
+def number(key: Column | str, salt: str) -> Column:
+    """A number of 31 bits that does not depend on whether the row is chosen."""
+    return draw(key, salt) * F.lit(SECOND) % F.lit(PRIME)
 
 
 def bucket(key: Column | str, salt: str, buckets: int) -> Column:
-    return F.pmod(draw(key, salt), F.lit(buckets))
+    return number(key, salt) % F.lit(buckets)
 
 
 # Two primes below 2**31 and one multiplier per column and prime: products of

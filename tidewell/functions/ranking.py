@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewell.functions.session import settle
 
 _HIGH, _LOW = 43, 22
 
@@ -91,8 +90,8 @@ def quantiles(
     column says how many times a row counts.
     """
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    # Settled, because four branches below would each scan the table again.
-    counted = settle(df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(n.alias("_n")))
+    # Four branches below read these counts; they share one exchange (tests/test_plans.py).
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(n.alias("_n"))
     ranked = cumulate(counted, group, value, "_n", "_at")
     totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
     ranked = ranked.join(totals, group) if group else ranked.crossJoin(F.broadcast(totals))

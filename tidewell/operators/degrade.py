@@ -14,7 +14,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.keyhash import bucket, chosen, draw, drawn
+from tidewell.functions.keyhash import bucket, chosen, drawn, number
 from tidewell.functions.numbers import count_if
 from tidewell.operators.flags import MOJIBAKE
 from tidewell.sources.warehouse import Warehouse
@@ -32,13 +32,15 @@ NULL_RULES: tuple[tuple[str, str, str, float], ...] = (
     ("accounts", "account_id", "last_contact_date", 0.08),
     ("accounts", "account_id", "next_renewal_date", 0.06),
 )
-NAME_RATE, REGION_RATE, WHITESPACE_RATE = 0.12, 0.05, 0.06
+REGION_RATE = 0.05
 DUPLICATE_RATE = 0.03
 SHIFT_RATE, TYPO_RATE = 0.04, 0.005
-# The three price rules share one draw per line and take neighbouring ranges.
+# The rules of one column share one draw per row and take neighbouring ranges,
+# so no value is edited twice and no edit reads the result of another.
+NAME_RANGE, NAME_SPACE_RANGE, MOJIBAKE_RANGE = (0.0, 0.12), (0.12, 0.18), (0.18, 0.20)
+NOTES_SPACE_RANGE, TRUNCATE_RANGE = (0.18, 0.24), (0.24, 0.25)
 ZERO_RANGE, NEGATIVE_RANGE, OUTLIER_RANGE = (0.0, 0.008), (0.008, 0.011), (0.011, 0.013)
 ORPHAN_RATE = 0.005
-MOJIBAKE_RATE, TRUNCATE_RATE = 0.02, 0.01
 GHOST_START = 90001
 GHOST_GAP = 10001
 # Misspellings planted for each canonical region.
@@ -63,8 +65,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _edit(key: str, salt: str, rate: float, column: str, new: Callable[[Column], Column]) -> Column:
-    return let(F.col(column), lambda old: F.when(chosen(key, salt, rate), new(old)).otherwise(old))
+def _edit(key: str, salt: str, span: tuple[float, float], column: str, new: Callable[[Column], Column]) -> Column:
+    return let(F.col(column), lambda old: F.when(drawn(key, salt, *span), new(old)).otherwise(old))
 
 
 def nulled(key: str, column: str, rate: float) -> Column:
@@ -82,7 +84,7 @@ def _without(text: Column, *parts: str) -> Column:
     return text
 
 
-def varied_name(key: str, column: str, rate: float = NAME_RATE, salt: str = "name") -> Column:
+def varied_name(key: str, column: str, span: tuple[float, float] = NAME_RANGE, salt: str = "company_name") -> Column:
     kind = bucket(key, salt, 7)
 
     def vary(name: Column) -> Column:
@@ -94,7 +96,7 @@ def varied_name(key: str, column: str, rate: float = NAME_RATE, salt: str = "nam
             .otherwise(F.concat(name, F.lit("  ")))
         )
 
-    return _edit(key, salt, rate, column, vary)
+    return _edit(key, salt, span, column, vary)
 
 
 def region_variant(key: str, column: str, rate: float = REGION_RATE, salt: str = "region") -> Column:
@@ -107,10 +109,10 @@ def region_variant(key: str, column: str, rate: float = REGION_RATE, salt: str =
             case = case.when(region == canonical, F.element_at(F.array(*[F.lit(v) for v in variants]), nr))
         return case.otherwise(region)
 
-    return _edit(key, salt, rate, column, misspell)
+    return _edit(key, salt, (0.0, rate), column, misspell)
 
 
-def whitespace(key: str, column: str, rate: float = WHITESPACE_RATE, salt: str = "space") -> Column:
+def whitespace(key: str, column: str, span: tuple[float, float], salt: str) -> Column:
     kind = bucket(key, salt, 3)
 
     def loosen(text: Column) -> Column:
@@ -121,7 +123,7 @@ def whitespace(key: str, column: str, rate: float = WHITESPACE_RATE, salt: str =
             .when(at > 0, F.concat(head, F.lit(" "), tail)).otherwise(text)
         )
 
-    return _edit(key, salt, rate, column, loosen)
+    return _edit(key, salt, span, column, loosen)
 
 
 def shifted_date(key: str, column: str, rate: float = SHIFT_RATE, salt: str = "shift") -> Column:
@@ -166,24 +168,24 @@ def spoiled_price(key: str, column: str, salt: str = "price") -> Column:
     return _scaled(column, F.when(chosen(key, salt, OUTLIER_RANGE[1]), hit).otherwise(1.0))
 
 
-def garbled(key: str, column: str, rate: float = MOJIBAKE_RATE, salt: str = "mojibake") -> Column:
+def garbled(key: str, column: str, span: tuple[float, float] = MOJIBAKE_RANGE, salt: str = "company_name") -> Column:
     def garble(text: Column) -> Column:
         for good, bad in MOJIBAKE.items():
             text = F.replace(text, F.lit(good), F.lit(bad))
         return text
 
-    return _edit(key, salt, rate, column, garble)
+    return _edit(key, salt, span, column, garble)
 
 
-def truncated(key: str, column: str, rate: float = TRUNCATE_RATE, salt: str = "truncate") -> Column:
+def truncated(key: str, column: str, span: tuple[float, float] = TRUNCATE_RANGE, salt: str = "null.notes") -> Column:
     """Texts longer than 20 are cut somewhere between 10 and half their length."""
 
     def cut(text: Column) -> Column:
-        span = F.floor(F.length(text) / 2) - 9
-        at = (F.pmod(draw(key, f"{salt}-at"), span) + 10).cast("int")
+        room = F.greatest(F.floor(F.length(text) / 2) - 9, F.lit(1))
+        at = (number(key, salt) % room + 10).cast("int")
         return F.when(F.length(text) > 20, F.substr(text, F.lit(1), at)).otherwise(text)
 
-    return _edit(key, salt, rate, column, cut)
+    return _edit(key, salt, span, column, cut)
 
 
 def near_duplicates(
@@ -255,8 +257,9 @@ def edits(typo_years: dict[int, int] = TYPO_YEARS) -> list[Edit]:
         Edit("format", "company_names", "customers", customer, "company_name", varied_name(customer, "company_name")),
         Edit("format", "regions", "customers", customer, "region", region_variant(customer, "region")),
         Edit("format", "whitespace:customers", "customers", customer, "company_name",
-             whitespace(customer, "company_name")),
-        Edit("format", "whitespace:activities", "activities", activity, "notes", whitespace(activity, "notes")),
+             whitespace(customer, "company_name", NAME_SPACE_RANGE, "company_name")),
+        Edit("format", "whitespace:activities", "activities", activity, "notes", 
+             whitespace(activity, "notes", NOTES_SPACE_RANGE, "null.notes")),
         Edit("temporal", "shifted_payments", "payments", "payment_id", "payment_date",
              shifted_date("payment_id", "payment_date")),
         Edit("temporal", "future_typo:orders", "orders", "order_id", "order_date",
@@ -326,9 +329,13 @@ def report(w: Warehouse, typo_years: dict[int, int] = TYPO_YEARS) -> DataFrame:
         counts = part if counts is None else counts.unionByName(part)
 
     plan = edits(typo_years)
-    for table in dict.fromkeys(e.table for e in plan):
-        df, metrics = w[table], []
-        for nr, edit in enumerate(e for e in plan if e.table == table):
+    garble = [e for e in plan if e.rule == "mojibake"]  # acts on the copies too
+    tidy = _apply(w["customers"], "customers", plan, ("format",))
+    starts = {"customers": w["customers"], "": near_duplicates(tidy, "customer_id", "company_name")[0]}
+    rest = [e for e in plan if e not in garble]
+    for table in [*dict.fromkeys(e.table for e in rest), ""]:
+        df, metrics = starts[table] if table in starts else w[table], []
+        for nr, edit in enumerate([e for e in rest if e.table == table] if table else garble):
             before = f"_before{nr}"
             df = df.withColumn(before, F.col(edit.column)).withColumn(edit.column, edit.expression)
             df = df.withColumn(f"_hit{nr}", ~F.col(before).eqNullSafe(F.col(edit.column))).drop(before)

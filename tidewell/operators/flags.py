@@ -48,8 +48,12 @@ def _flags(
 
 
 def outlier(t: Tables, sigmas: float = 3.0) -> DataFrame:
+    """Prices above the mean by ``sigmas`` deviations; both come from whole sums of cents, in any order the same."""
     items = t["order_items"].filter(F.col("unit_price") > 0)
-    upper = items.agg(F.avg("unit_price") + sigmas * F.stddev_pop("unit_price")).scalar()
+    cents = F.floor(F.col("unit_price") * 100 + 0.5).cast("decimal(19,0)")
+    mean = F.sum(cents).cast("double") / F.count(cents)
+    square = F.sum(cents * cents).cast("double") / F.count(cents)
+    upper = items.agg((mean + sigmas * F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))) / 100).scalar()
     high = items.filter(F.col("unit_price") > upper)
     text = F.format_string("unit_price exceeds 3 std devs (threshold: %.2f)", upper)
     return _flags(high, "FLG-001", "order_items", "line_id", "outlier", text)
@@ -59,7 +63,7 @@ def duplicate_tracked(t: Tables) -> DataFrame:
     hit = t["duplicate_tracking"].join(
         t["customers"].select("customer_id"), F.col("duplicate_customer_id") == F.col("customer_id")
     )
-    text = "Near-duplicate record (tracked in _messiness_duplicates)"
+    text = "Near-duplicate record (tracked in duplicate_tracking)"
     return _flags(hit, "FLG-002", "customers", "customer_id", "duplicate_suspect", text)
 
 

@@ -28,7 +28,7 @@ def crm_kpis(w: Warehouse) -> DataFrame:
 
 
 def pipeline_funnel(w: Warehouse) -> DataFrame:
-    """Stages with their deals in percent of the earliest stage's."""
+    """Stages with their deals in percent of those of the stage with the lowest mean probability."""
     stages = w["v_opportunities_clean"].groupBy("stage").agg(
         n_rows().alias("deals"), money_sum("amount").alias("total_value"), money_avg("amount").alias("avg_deal"),
         F.avg("probability").alias("avg_prob"),

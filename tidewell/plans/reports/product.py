@@ -82,8 +82,8 @@ def _ranked_users(users: DataFrame) -> DataFrame:
     ranked = positions(users.withColumn("_down", -F.col("events")), [], ["_down", "user_id"], "rank")
     above = _levels(users).select("events", "users_above", "events_above")
     running = F.col("events_above") + F.col("events") * (F.col("rank") - F.col("users_above"))
-    # ``above`` has at most sqrt(2 * events) rows: 4.5 million for 10**13 events.
-    return ranked.join(F.broadcast(above), "events").select(
+    # ``above`` grows with the square root of the events: the join's strategy is left to its measured size.
+    return ranked.join(above, "events").select(
         "user_id", "events", "sessions", "rank",
         percent(running, users.agg(F.sum("events")).scalar()).alias("cumulative_pct"),
         percent(F.col("rank"), users.agg(n_rows()).scalar()).alias("user_rank_pct"),
@@ -100,7 +100,7 @@ def pareto_sample(w: Warehouse, points: int = 200) -> DataFrame:
 
 def top_share(w: Warehouse, share: float = 0.2) -> DataFrame:
     """Share of events that the top fifth of users make; needs no user ranks."""
-    levels = settle(_levels(_users(w)))
+    levels = _levels(_users(w))
     totals = levels.agg(F.sum("n_users").alias("n_users"), F.sum("_load").alias("n_events"))
     top = F.floor(F.col("_n_all") * share)
     taken = F.least(F.greatest(top - F.col("users_above"), F.lit(0)), F.col("n_users"))
@@ -115,9 +115,8 @@ def top_share(w: Warehouse, share: float = 0.2) -> DataFrame:
 
 
 def user_event_stats(w: Warehouse) -> DataFrame:
-    counts = settle(
-        w["v_usage_events_clean"].groupBy("user_id").agg(n_rows().alias("events"))
-        .groupBy("events").agg(n_rows().alias("_times"))
+    counts = w["v_usage_events_clean"].groupBy("user_id").agg(n_rows().alias("events")).groupBy("events").agg(
+        n_rows().alias("_times")
     )
     middle = quantiles(counts, [], "events", {"median_events": 0.5}, "_times")
     rest = counts.agg(

@@ -13,9 +13,7 @@ from tidewell.sources.warehouse import Warehouse
 
 
 def valid_customers(w: Warehouse) -> DataFrame:
-    keys = w["customers"].select("customer_id")
-    bound = w.rules.max_customer_id
-    return keys if bound is None else keys.filter(F.col("customer_id") <= bound)
+    return w["customers"].select("customer_id")
 
 
 def _valid_orders(w: Warehouse) -> DataFrame:
@@ -25,8 +23,6 @@ def _valid_orders(w: Warehouse) -> DataFrame:
 
 def customers(w: Warehouse) -> DataFrame:
     df = ex.exclude_listed(w["customers"], w["duplicate_tracking"], "customer_id", "duplicate_customer_id")
-    if w.rules.max_customer_id is not None:
-        df = df.filter(F.col("customer_id") <= w.rules.max_customer_id)
     df = nrm.standardize(df.withColumn("company_name", nrm.norm_name("company_name")), "region", w["region_mapping"])
     return df.select(
         "customer_id", "company_name", "region", "segment", "industry", "customer_type", "acquisition_date",

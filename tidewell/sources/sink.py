@@ -18,7 +18,9 @@ def materialize(
 ) -> DataFrame:
     """Overwrite ``{out}/{name}`` per table and report the rows written.
 
-    Empty tables are skipped; a leading underscore is dropped from the name.
+    Each plan runs once. A table without rows leaves no output, an earlier one's
+    neither, and is reported as removed; a leading underscore is dropped from
+    the name.
     With ``date_columns`` the columns named there are read as dates and all
     columns get warehouse types. ``partition_by`` lists partition columns.
     """
@@ -29,15 +31,16 @@ def materialize(
             days = date_columns.get(name, [])
             df = build_schema(coerce_dates(df, days), days)
         target = name.lstrip("_")
-        if df.isEmpty():
-            report.append((target, 0, "skipped"))
-            continue
         writer = df.write.mode("overwrite")
         if partition_by and partition_by.get(name):
             writer = writer.partitionBy(*partition_by[name])
         writer.parquet(f"{out}/{target}")
         # Footer metadata answers the count; the plan is not run again.
-        report.append((target, spark.read.parquet(f"{out}/{target}").count(), "written"))
+        rows = spark.read.schema(df.schema).parquet(f"{out}/{target}").count()
+        if not rows:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{target}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        report.append((target, rows, "written" if rows else "removed"))
     return spark.createDataFrame(report, "table_name string, n_rows bigint, outcome string").orderBy(F.col("table_name"))
 
 

@@ -86,6 +86,17 @@ def _build_places(w: Warehouse, d: str) -> DataFrame:
     return raw(w, "customer", d).join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
 
+# Accented names, shared by one customer in 40 so that some repeat
+# in a region and some are garbled.
+ACCENTED_NAMES = ("Müller Söhne", "Café Crème", "Peña Mañana", "Grüne Aue", "Åse Bjørn", "Façade Née")
+
+
+def _company_name(suffix: Column) -> Column:
+    """The customer's own name; for every 40th key one of a few accented ones."""
+    shared = pick(F.floor(F.col("c_custkey") / 40) % len(ACCENTED_NAMES), *ACCENTED_NAMES)
+    return F.concat(F.when(F.col("c_custkey") % 40 == 0, shared).otherwise(F.col("c_name")), suffix)
+
+
 def customers(w: Warehouse, d: str) -> DataFrame:
     first = raw(w, "orders", d).groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("acquisition_date"))
     balance, suffix = F.col("c_acctbal"), pick(F.col("c_nationkey") % 4, " Inc.", " Corp.", " LLC", "")
@@ -94,7 +105,7 @@ def customers(w: Warehouse, d: str) -> DataFrame:
         .join(first, F.col("c_custkey") == F.col("o_custkey"), "left")
         .select(
             F.col("c_custkey").alias("customer_id"),
-            F.concat("c_name", suffix).alias("company_name"),
+            _company_name(suffix).alias("company_name"),
             F.when(balance >= 3000, "wholesale").otherwise("dtc").alias("customer_type"),
             "region",
             choose(F.col("c_mktsegment"), SEGMENT).alias("segment"),
@@ -211,7 +222,7 @@ def invoices(w: Warehouse, d: str) -> DataFrame:
 
 def payments(w: Warehouse, d: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    days = F.pmod(F.date_diff("first_ship", day), F.lit(120))
+    days = F.date_diff("first_ship", day)
     return (
         raw(w, "orders", d).filter(F.col("o_orderstatus") == "F")
         .join(_order_lines(w, d), F.col("o_orderkey") == F.col("l_orderkey"))

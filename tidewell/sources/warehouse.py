@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.functions.session import tune
 from tidewell.sources.schemas import DDL, schema
 
 
@@ -22,14 +21,13 @@ class Rules:
 
     cutoff: dt.date = dt.date(2025, 12, 31)
     price_cap: float = 10000.0
-    max_customer_id: int | None = None
     usage_as_of: dt.date = dt.date(2025, 12, 31)
     focus_module: str = "ai_insights"
 
 
 class Warehouse(Mapping):
     def __init__(self, spark: SparkSession, builders: dict[str, Callable[[Warehouse], DataFrame]], rules: Rules):
-        self.spark = tune(spark)
+        self.spark = spark
         self.rules = rules
         self._builders = dict(builders)
         self._built: dict[Hashable, DataFrame] = {}
