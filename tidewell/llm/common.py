@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, LongType, StructField, StructType
 
-from tidewell.functions.session import settle
+from tidewell.functions.session import settle, shared_folder
 
 # ASCII white space, the only separators of words in this package.
 SPACE = r"\x20\x09-\x0D"
@@ -49,6 +50,16 @@ def fields(schema: StructType, **added: DataType) -> StructType:
     return StructType([*schema, *[StructField(name, kind) for name, kind in added.items()]])
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``settle``, as a Parquet table in the shared folder: for long tables, whose columns compress well.
+
+    The table stays until the owner of the folder deletes it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def in_order(df: DataFrame, *keys: Column) -> DataFrame:
     """All rows sorted over the partitions, each row with its partition's number as ``_part``; settled."""
     ranged = df.repartitionByRange(shuffle_partitions(df), *keys).sortWithinPartitions(*keys)

@@ -48,17 +48,23 @@ def permuted(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def pack(encoded: DataFrame, end_id: int) -> DataFrame:
-    """Replace ``ids`` by ``_tokens``, 16 bits each and closed by ``end_id``, and their number ``_n``; null ids are none."""
+    """Replace ``ids`` by ``_tokens``, 16 bits each and closed by ``end_id``, and their number ``_n``; null ids are none.
+
+    A document's tokens are compressed, as they are kept until all are counted.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        tight = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids = batch.column("ids")
             values = ids.flatten().to_numpy().astype("<u2")
             n = np.array([k or 0 for k in ids.value_lengths().to_pylist()], np.int64)
             stops = np.cumsum(n)
-            flow = np.insert(values, stops, end_id)
-            ends = np.concatenate([[0], stops + np.arange(1, len(n) + 1)]) * 2
-            raw = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flow.astype("<u2").tobytes())])
+            flow = np.insert(values, stops, end_id).astype("<u2").tobytes()
+            ends = 2 * np.concatenate([[0], stops + np.arange(1, len(n) + 1)])
+            raw = pa.array([tight.compress(flow[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
             kept = [c for c in batch.schema.names if c != "ids"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], raw, pa.array(n + 1)], names=[*kept, "_tokens", "_n"])
 
@@ -88,12 +94,15 @@ def materialise(encoded: DataFrame, path: str, length: int, key: int, end_id: in
     stride = max(1, -(-sequences // shards))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        loose = zstandard.ZstdDecompressor()
         held, at = b"", None
-        for batch in by_bytes(batches, "_tokens", 1 << 22):
+        for batch in by_bytes(batches, "_tokens", 1 << 21):
             if not batch.num_rows:
                 continue
             at = batch.column("_before")[0].as_py() if at is None else at
-            flow = held + b"".join(batch.column("_tokens").to_pylist())
+            flow = held + b"".join(map(loose.decompress, batch.column("_tokens").to_pylist()))
             # all whole sequences; the first may be the end of one begun elsewhere
             whole = (at + len(flow) // 2) // length * length - at
             if whole > 0:
@@ -140,7 +149,7 @@ def materialise(encoded: DataFrame, path: str, length: int, key: int, end_id: in
 
     parts = running(packed, _before="_n").select("_before", "_tokens").mapInArrow(cut, "shard int, slot long, sequence long, _at long, record binary")
     records = parts.repartition(shards, "shard").sortWithinPartitions("shard", "slot", "_at").mapInArrow(join, "shard int, slot long, sequence long, n_tokens int, record binary")
-    records.write.partitionBy("shard").parquet(path)
+    records.write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return {"sequences": sequences, "shards": shards, "stride": stride}
 
 
