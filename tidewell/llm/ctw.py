@@ -9,15 +9,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewell.functions.session import settle
-from tidewell.llm.common import by_bytes, remainder
+from tidewell.llm.common import by_bytes, remainder, stored
 
 # Bytes of context, and the marks before and after a text; UTF-8 has neither.
-DEPTH, BEGIN, END = 6, 0xFE, 0xFF
+DEPTH, BEGIN, END = 5, 0xFE, 0xFF
 # A context is a node of the tree if it holds at least this share of all
 # positions, so a depth has at most 1 / SHARE nodes whatever the input. Words
 # of at least WORD_SHARE of all tokens are known to every task.
-SHARE, WORD_SHARE = 2.0**-16, 2.0**-20
+SHARE, WORD_SHARE = 2.0**-16, 2.0**-22
 # The token that ends a text, among the hashes of words.
 END_TOKEN = 0
 _COUNTED = "_kind byte, _key long, _n long"
@@ -175,24 +174,24 @@ def context_tree(counts: DataFrame) -> Tree:
 
     There are at most 1 / SHARE such contexts of each depth, with 256 counts each.
     """
-    full = counts.where("_kind = 1")
-    total = full.agg(F.sum("_n")).first()[0] or 0
-    masks = F.array(*[F.lit((1 << 8 * (d + 1)) - 1).cast("long") for d in range(DEPTH + 1)])
-    spread = full.select("_n", "_key", F.posexplode(masks).alias("_depth", "_mask"))
-    by_node = settle(spread.groupBy("_depth", F.col("_key").bitwiseAND(F.col("_mask")).alias("_key")).agg(F.sum("_n").alias("_n")))
-    context = F.shiftrightunsigned("_key", 8).alias("_context")
-    kept = by_node.groupBy("_depth", context).agg(F.sum("_n").alias("_all")).where(F.col("_all") >= total * SHARE)
-    rows = by_node.withColumn("_context", context).join(kept, ["_depth", "_context"]).select("_depth", "_context", F.col("_key").bitwiseAND(F.lit(255)).alias("_byte"), "_n").toArrow()
-    depth, context, byte, n = (rows.column(c).to_numpy() for c in ("_depth", "_context", "_byte", "_n"))
+    table = counts.where("_kind = 1").select("_key", "_n")
+    total = table.agg(F.sum("_n")).first()[0] or 0
     nodes = []
-    for d in range(DEPTH + 1):
-        own = depth == d
-        keys, place = np.unique(context[own], return_inverse=True)
+    for d in range(DEPTH, -1, -1):
+        if d < DEPTH:  # forget the byte furthest back
+            shorter = F.col("_key").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1))
+            table = stored(table.groupBy(shorter.alias("_key")).agg(F.sum("_n").alias("_n")))
+        byte = F.col("_key").bitwiseAND(F.lit(255)).cast("int")
+        rows = table.groupBy(F.shiftrightunsigned("_key", 8).alias("_context")).agg(
+            F.sum("_n").alias("_all"), F.collect_list(F.struct(byte.alias("_byte"), "_n")).alias("_next"))  # 256 at most
+        kept = rows.where(F.col("_all") >= total * SHARE).select("_context", F.inline("_next")).toArrow()
+        context, byte, n = (kept.column(c).to_numpy() for c in ("_context", "_byte", "_n"))
+        keys, place = np.unique(context, return_inverse=True)
         if d == 0 and not len(keys):
             keys = np.zeros(1, np.int64)  # nothing learned: a root without counts
-        table = np.zeros((len(keys), 256))
-        table[place, byte[own]] = n[own]
-        nodes.append((keys, table))
+        counted = np.zeros((len(keys), 256))
+        counted[place, byte] = n
+        nodes.insert(0, (keys, counted))
     return weigh(nodes)
 
 
@@ -214,10 +213,11 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     are told apart by their place in the table. Without training texts all
     bytes are equally likely. Other columns are ignored.
     """
-    counts = settle(gather(docs.where(train)))
+    counts = stored(gather(docs.where(train)))
     words = counts.where("_kind = 0").select("_key", "_n")
     n, v = words.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count("*")).first()
-    known = words.where(F.col("_n") >= max(1, n * WORD_SHARE)).toArrow().sort_by("_key")
+    often = max(1, n * WORD_SHARE)
+    known = words.where(F.col("_n") >= often).toArrow().sort_by("_key")
     tree = context_tree(counts)
     # plain arrays: what is broadcast is not sent with its class
     held = docs.sparkSession.sparkContext.broadcast(
@@ -238,23 +238,28 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
                 sums.append(float(m[found] @ np.log10(times[at[found]] + 1.0)))
                 seen.append(int(m[found].sum()))
                 rare.append((np.full((~found).sum(), row), keys[~found], m[~found]))
-            count = pa.array([len(words) + 1 for words in texts], pa.int64())
-            # a text's own row meets no word: its key is spread by the row
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(rows), pa.nulls(len(rows), pa.int64()), batch.column("doc_id").cast(pa.int64()), count, pa.array(seen, pa.int64()), pa.array(sums), pa.array(scores)], names=names)
+            own = pa.StructArray.from_arrays(
+                [batch.column("doc_id").cast(pa.int64()), pa.array([len(words) + 1 for words in texts], pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores)],
+                fields=list(kind.field("_own").type))
+            # a text's own row meets no word; its key, the row, spreads it
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(rows), pa.nulls(len(rows), pa.int32()), own], schema=kind)
             row, key, m = (np.concatenate(part) for part in zip(*rare))
-            none = pa.nulls(len(row), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(key), pa.array(m), none, none, none, none.cast(pa.float64()), none.cast(pa.float64())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(key), pa.array(m.astype(np.int32)), pa.nulls(len(row), own.type)], schema=kind)
 
-    names = ["_row", "_key", "_m", "doc_id", "n_tokens", "_seen", "_sum", "score"]
+    whole, real = pa.int64(), pa.float64()
+    kind = pa.schema([("_row", whole), ("_key", whole), ("_m", pa.int32()), ("_own", pa.struct(
+        [("doc_id", whole), ("n_tokens", whole), ("seen", whole), ("sum", real), ("score", real)]))])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_row"))
-    found = texts.mapInArrow(run, "_row long, _key long, _m long, doc_id long, n_tokens long, _seen long, _sum double, score double").join(words, "_key", "left")
-    met = F.col("_m").isNotNull() & F.col("_n").isNotNull()
-    out = found.groupBy("_row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("_seen") + F.coalesce(F.sum(F.when(met, F.col("_m"))), F.lit(0))).alias("n_known"),
-        (F.max("_sum") + F.coalesce(F.sum(F.when(met, F.col("_m") * F.log10(F.col("_n") + 1))), F.lit(0.0))).alias("_sum"),
-        F.max("score").alias("score"),
+    found = texts.mapInArrow(run, "_row long, _key long, _m int, _own struct<doc_id: long, n_tokens: long, seen: long, sum: double, score: double>")
+    met = found.join(words.where(F.col("_n") < often), "_key", "left")
+    is_word = F.col("_m").isNotNull() & F.col("_n").isNotNull()
+    # one number per rare word and one row per text come together again
+    out = met.select(
+        "_row", "_own", F.when(is_word, F.col("_m")).alias("_seen"), F.when(is_word, F.col("_m") * F.log10(F.col("_n") + 1)).alias("_log")
+    ).where("_own is not null or _seen is not null").groupBy("_row").agg(
+        F.max("_own.doc_id").alias("doc_id"), F.max("_own.n_tokens").alias("n_tokens"), F.max("_own.score").alias("score"),
+        (F.max("_own.seen") + F.coalesce(F.sum("_seen"), F.lit(0))).alias("n_known"),
+        (F.max("_own.sum") + F.coalesce(F.sum("_log"), F.lit(0.0))).alias("_sum"),
     )
     base = F.col("_sum") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
     return out.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
