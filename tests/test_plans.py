@@ -59,3 +59,21 @@ def test_hot_key_join_is_split(spark):
     finally:
         for key, value in saved.items():
             spark.conf.set(key, value)
+
+
+def test_nothing_is_broadcast_by_force(spark):
+    """The levels of the power-user curve grow with the events."""
+    text = product.pareto_users(star(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in text
+
+
+def test_lazy_queries_start_no_job(spark):
+    """Quantiles and shares are plans until they are read."""
+    w = star(spark, SF)
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        for build in (product.top_share, product.user_event_stats, ecommerce.discount_by_segment):
+            build(w)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("building") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
