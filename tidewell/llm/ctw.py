@@ -51,7 +51,7 @@ def gather(docs: DataFrame) -> DataFrame:
     """Counts over all texts: ``_kind`` 0 are words by hash, 1 contexts of full depth with the byte that follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text", 8 << 20):
+        for batch in by_bytes(batches, "text", 2 << 20):
             texts = [words_of(text) for text in batch.column("text").to_pylist()]
             spoken = hashes([word for words in texts for word in words])
             for kind, keys in ((0, np.concatenate([spoken, np.full(len(texts), END_TOKEN)])), (1, contexts(stream(texts)[0]))):
