@@ -230,6 +230,11 @@ def test_context_tree_against_recursion(spark):
     assert np.allclose((10.0 ** tree.log10.astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_contexts_hold_six_bytes():
+    one, other = (ctw.contexts(ctw.stream([[w]])[0])[6] for w in (b"1abcdex", b"2abcdex"))
+    assert one & 255 == other & 255 == ord("x") and one != other
+
+
 def test_base_and_counts(spark):
     data = rows() + [(100 + i, words(i, 5 + i), "en", "s", 0) for i in range(40)]
     train = [t for i, t, *_ in data if zlib.crc32(str("" if i is None else i).encode()) % 7 != 2]
