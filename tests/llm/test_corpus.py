@@ -235,6 +235,55 @@ def test_contexts_hold_six_bytes():
     assert one & 255 == other & 255 == ord("x") and one != other
 
 
+def exact_ctw(texts, scored):
+    """log10 probability of each scored text when every context seen in ``texts`` is a node."""
+    def steps(t):
+        f = ctw.stream([t])[0].tolist()
+        for i in range(ctw.DEPTH, len(f)):
+            for j in range(8):
+                yield [(tuple(f[i - d:i]), j, f[i] >> 8 - j) for d in range(ctw.DEPTH + 1)], f[i] >> 7 - j & 1
+
+    seen, below = {}, Counter()
+    for t in texts:
+        for path, bit in steps(t):
+            for node in path:
+                seen.setdefault(node, [0, 0])[bit] += 1
+    weight = {}
+    for node in sorted(seen, key=lambda node: -len(node[0])):
+        context, j, prefix = node
+        a, b = seen[node]
+        own = both = math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+        weight[node] = 1.0
+        if len(context) < ctw.DEPTH:
+            both = np.logaddexp(own, below[node]) - math.log(2)
+            weight[node] = math.exp(own - math.log(2) - both)
+        below[context[1:], j, prefix] += both if context else 0
+    out = []
+    for t in scored:
+        total = 0.0
+        for path, bit in steps(t):
+            p, left = 0.0, 1.0
+            for node in path:
+                a, b = seen.get(node, (0, 0))
+                w = weight.get(node, 0.5 if len(node[0]) < ctw.DEPTH else 1.0)
+                p, left = p + left * w * (b + 0.5) / (a + b + 1), left * (1 - w)
+            total += math.log10(p if bit else 1 - p)
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize(("share", "part"), [(2.0**-24, 1 << 18), (2.0**-10, 1000)])
+def test_every_seen_context_has_its_estimate(spark, monkeypatch, share, part):
+    """More than 2**16 positions, so that a context seen once has less than 2**-16 of them."""
+    monkeypatch.setattr(ctw, "KEY_SHARE", share)
+    monkeypatch.setattr(ctw, "PART_KEYS", part)
+    data = [(i, words(i, 2000), "en", "s", 0) for i in range(9)] + [(20, words(3, 300) + " zq", "en", "s", 0), (21, None, "en", "s", 0)]
+    got = {r["doc_id"]: r["score"] for r in ctw.score(documents(spark, data), F.col("doc_id") < 9).collect()}
+    spoken = {i: ctw.words_of(t) for i, t, *_ in data}
+    wanted = exact_ctw([spoken[i] for i in range(9)], [spoken[i] for i in (0, 20, 21)])
+    assert np.allclose([got[i] for i in (0, 20, 21)], wanted, rtol=1e-6)
+
+
 def test_base_and_counts(spark):
     data = rows() + [(100 + i, words(i, 5 + i), "en", "s", 0) for i in range(40)]
     train = [t for i, t, *_ in data if zlib.crc32(str("" if i is None else i).encode()) % 7 != 2]

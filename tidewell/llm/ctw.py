@@ -9,17 +9,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewell.llm.common import by_bytes, remainder, stored
+from tidewell.functions.session import settle
+from tidewell.llm.common import by_bytes, remainder, shuffle_partitions, stored
 
 # Bytes of context, and the marks before and after a text; UTF-8 has neither.
 DEPTH, BEGIN, END = 6, 0xFE, 0xFF
-# A context is a node of the tree if it holds at least this share of all
-# positions, so a depth has at most 1 / SHARE nodes whatever the input. Words
-# of at least WORD_SHARE of all tokens are known to every task.
-SHARE, WORD_SHARE = 2.0**-16, 2.0**-22
+# Words of at least WORD_SHARE of all tokens, and contexts with their next byte
+# of at least KEY_SHARE of all positions, are known to every task; all others
+# are joined.
+WORD_SHARE, KEY_SHARE = 2.0**-22, 2.0**-24
+# Contexts with their next byte that a task weighs at once, about.
+PART_KEYS = 1 << 18
 # The token that ends a text, among the hashes of words.
 END_TOKEN = 0
-_COUNTED = "_kind byte, _key long, _n long"
+_COUNTED = "_kind byte, _key long, _n long, _all long"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -47,20 +50,38 @@ def contexts(flow: np.ndarray) -> np.ndarray:
     return packed[flow[DEPTH:] != BEGIN]
 
 
-def gather(docs: DataFrame) -> DataFrame:
-    """Counts over all texts: ``_kind`` 0 are words by hash, 1 contexts of full depth with the byte that follows."""
+def turned(keys: np.ndarray) -> np.ndarray:
+    """The context's bytes in reverse, the latest first, and the byte itself: sorted, every subtree is one run."""
+    apart = np.ascontiguousarray(keys, "<i8").view(np.uint8).reshape(-1, 8)
+    return np.ascontiguousarray(apart[:, [0, *range(DEPTH, 0, -1), *range(DEPTH + 1, 8)]]).view("<i8").ravel()
+
+
+def gather(docs: DataFrame, train: Column) -> DataFrame:
+    """Counts: ``_kind`` 0 are training words by hash, 1 the turned contexts of all texts with the byte that follows.
+
+    ``_n`` counts the texts where ``train`` holds, 0 for what only the others have; ``_all`` counts all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", 2 << 20):
             texts = [words_of(text) for text in batch.column("text").to_pylist()]
-            spoken = hashes([word for words in texts for word in words])
-            for kind, keys in ((0, np.concatenate([spoken, np.full(len(texts), END_TOKEN)])), (1, contexts(stream(texts)[0]))):
-                found, n = np.unique(keys, return_counts=True)
+            learned = np.array(batch.column("_train").to_pylist(), bool)
+            spoken = hashes([word for words, own in zip(texts, learned) if own for word in words])
+            flow, ends = stream(texts)
+            marked = contexts(flow) << 1 | np.repeat(learned, np.diff(ends, prepend=0) - DEPTH)
+            word, n = np.unique(np.concatenate([spoken, np.full(learned.sum(), END_TOKEN)]), return_counts=True)
+            key, m = np.unique(marked, return_counts=True)
+            first = np.flatnonzero(np.diff(key >> 1, prepend=-1))
+            every, own = np.add.reduceat(m, first), np.add.reduceat(m * (key & 1), first)
+            for kind, found, times, total in ((0, word, n, n), (1, turned(key[first] >> 1), own, every)):
                 for at in range(0, len(found), 1 << 16):
                     part = slice(at, at + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[part]), kind, np.int8)), pa.array(found[part]), pa.array(n[part])], names=["_kind", "_key", "_n"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(found[part]), kind, np.int8)), pa.array(found[part]), pa.array(times[part]), pa.array(total[part])],
+                        names=["_kind", "_key", "_n", "_all"])
 
-    return docs.select("text").mapInArrow(run, _COUNTED).groupBy("_kind", "_key").agg(F.sum("_n").alias("_n"))
+    learned = F.coalesce(train, F.lit(False)).alias("_train")
+    return docs.select("text", learned).mapInArrow(run, _COUNTED).groupBy("_kind", "_key").agg(F.sum("_n").alias("_n"), F.sum("_all").alias("_all"))
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -94,7 +115,10 @@ def _kt_log(counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Tree:
-    """``child[s, byte]``: the state one byte further back, -1 where the tree ends; ``log10[s, byte]``: of the next byte."""
+    """A tree that fits one process, the plain form of ``predictions``.
+
+    ``child[s, byte]``: the state one byte further back, -1 where the tree ends; ``log10[s, byte]``: of the next byte.
+    """
 
     child: np.ndarray
     log10: np.ndarray
@@ -169,30 +193,164 @@ def weigh(nodes: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
     return Tree(child, log10)
 
 
-def context_tree(counts: DataFrame) -> Tree:
-    """The weighted tree over the contexts with at least SHARE of all positions; their counts come to the driver.
+def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - np.log(np.pi) - _log_gamma(zeros + ones + 1.0)
+
+
+def _above(ids: np.ndarray) -> np.ndarray:
+    """The same binary node in the context that is one byte shorter."""
+    return ids >> 16 << 8 | ids & 255
+
+
+@dataclass
+class Level:
+    """The binary nodes of a depth: context * 256 + node, what they saw, and the log of the children's product."""
+
+    ids: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    below: np.ndarray | None = None
+    up: np.ndarray | None = None
+
+    def weighted(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """Log of the weighted probability, and the weight of the node's own estimate."""
+        own = _kt(self.zeros, self.ones)
+        if d == DEPTH:
+            return own, np.ones_like(own)
+        both = np.logaddexp(own, self.below) - np.log(2)
+        return both, np.exp(own - np.log(2) - both)
+
+
+def levels(keys: np.ndarray, n: np.ndarray) -> tuple[list[Level], np.ndarray]:
+    """The levels over ascending turned keys, without products, and each key's places among the deepest nodes."""
+    ids, zeros, ones, places, start = [], [], [], [], 0
+    for j in range(8):
+        new = np.diff(keys >> 8 - j, prepend=-1) != 0
+        first, bit = np.flatnonzero(new), keys >> 7 - j & 1
+        one = np.add.reduceat(n * bit, first)
+        ids.append(keys[first] & ~255 | (1 << j) - 1 + ((keys[first] & 255) >> 8 - j))
+        ones.append(one)
+        zeros.append(np.add.reduceat(n, first) - one)
+        places.append(np.cumsum(new) - 1 + start)
+        start += len(first)
+    found = [Level(np.concatenate(ids), np.concatenate(zeros), np.concatenate(ones))]
+    for _ in range(DEPTH):
+        low = found[0]
+        up, low.up = np.unique(_above(low.ids), return_inverse=True)
+        found.insert(0, Level(up, np.bincount(low.up, low.zeros), np.bincount(low.up, low.ones)))
+    return found, np.stack(places)
+
+
+def _open(level: Level, d: int, keys: np.ndarray) -> np.ndarray:
+    """Nodes of the first and last context of a partition, which may go on in the next one."""
+    context, shift = level.ids >> 8, 8 * (DEPTH + 1 - d)
+    return (context == keys[0] >> shift) | (context == keys[-1] >> shift)
+
+
+def borders(keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, Level]]:
+    """A partition's share of its open nodes; their products cover the children that are whole inside it."""
+    found, _ = levels(keys, n)
+    for d in range(DEPTH, -1, -1):
+        level = found[d]
+        level.below = np.zeros(len(level.ids)) if d == DEPTH else np.bincount(found[d + 1].up, closed)
+        at = _open(level, d, keys)
+        closed = np.where(at, 0.0, level.weighted(d)[0])
+        yield d, Level(level.ids[at], level.zeros[at], level.ones[at], level.below[at])
+
+
+def joined(shares: list[Level]) -> list[Level]:
+    """The open nodes of all partitions, with the open children added to their products; ids ascending."""
+    for d in range(DEPTH - 1, -1, -1):
+        at = np.searchsorted(shares[d].ids, _above(shares[d + 1].ids))
+        shares[d].below = shares[d].below + np.bincount(at, shares[d + 1].weighted(d + 1)[0], len(shares[d].ids))
+    return shares
 
-    There are at most 1 / SHARE such contexts of each depth, with 256 counts each.
+
+def predictions(keys: np.ndarray, n: np.ndarray, whole: list[Level]) -> np.ndarray:
+    """log10 of each key's byte after its context, by the mixture of all context trees.
+
+    Every binary decision of the next byte has its own weighted context tree.
+    A node either predicts by its own counts or leaves it to its children, with
+    prior weights of one half: P = (KT + product of the children's P) / 2. With
+    all counts known, the weights are fixed and a prediction is the mixture of
+    the KT estimates along the path; a context never seen predicts one half.
     """
-    table = counts.where("_kind = 1").select("_key", "_n")
-    total = table.agg(F.sum("_n")).first()[0] or 0
-    nodes = []
+    found, places = levels(keys, n)
+    weights: list[np.ndarray] = []
     for d in range(DEPTH, -1, -1):
-        if d < DEPTH:  # forget the byte furthest back
-            shorter = F.col("_key").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1))
-            table = stored(table.groupBy(shorter.alias("_key")).agg(F.sum("_n").alias("_n")))
-        byte = F.col("_key").bitwiseAND(F.lit(255)).cast("int")
-        rows = table.groupBy(F.shiftrightunsigned("_key", 8).alias("_context")).agg(
-            F.sum("_n").alias("_all"), F.collect_list(F.struct(byte.alias("_byte"), "_n")).alias("_next"))  # 256 at most
-        kept = rows.where(F.col("_all") >= total * SHARE).select("_context", F.inline("_next")).toArrow()
-        context, byte, n = (kept.column(c).to_numpy() for c in ("_context", "_byte", "_n"))
-        keys, place = np.unique(context, return_inverse=True)
-        if d == 0 and not len(keys):
-            keys = np.zeros(1, np.int64)  # nothing learned: a root without counts
-        counted = np.zeros((len(keys), 256))
-        counted[place, byte] = n
-        nodes.insert(0, (keys, counted))
-    return weigh(nodes)
+        level = found[d]
+        level.below = np.zeros(len(level.ids)) if d == DEPTH else np.bincount(found[d + 1].up, mine)
+        at = np.flatnonzero(_open(level, d, keys))
+        known = np.searchsorted(whole[d].ids, level.ids[at])
+        for column in ("zeros", "ones", "below"):
+            getattr(level, column)[at] = getattr(whole[d], column)[known]
+        mine, weight = level.weighted(d)
+        weights.insert(0, weight)
+    mixed, left = np.zeros(1), np.ones(1)
+    for d, (level, weight) in enumerate(zip(found, weights)):
+        up = level.up if d else np.zeros(len(level.ids), int)
+        mixed, left = mixed[up], left[up]
+        mixed = mixed + left * weight * (level.ones + 0.5) / (level.zeros + level.ones + 1.0)
+        left = left * (1 - weight)
+    bits = keys >> np.arange(7, -1, -1)[:, None] & 1
+    return np.log10(np.where(bits, mixed[places], 1 - mixed[places])).sum(axis=0)
+
+
+def model(counts: DataFrame) -> DataFrame:
+    """``_key, _all, _log``: log10 of the byte after its context for every turned key; all seen contexts take part.
+
+    The keys are sorted over partitions, so nearly all subtrees lie inside one.
+    Only the contexts at the partitions' ends come to the driver, at most
+    2 * (DEPTH + 1) a partition with up to 255 binary nodes each.
+    """
+    table = counts.where("_kind = 1").select("_key", "_n", "_all")
+    parts = max(shuffle_partitions(counts), -(-table.count() // PART_KEYS))
+    ordered = settle(table.repartitionByRange(parts, "_key").sortWithinPartitions("_key"))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndarray] | None:
+        rows = [batch for batch in batches if batch.num_rows]
+        if not rows:
+            return None
+        part = pa.Table.from_batches(rows)
+        return part, part["_key"].to_numpy(), part["_n"].to_numpy().astype(float)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if part := held(batches):
+            for d, level in borders(*part[1:]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(level.ids), d, np.int32)), *map(pa.array, (level.ids, level.zeros, level.ones, level.below))], names=names)
+
+    names = ["_depth", "_id", "_zeros", "_ones", "_below"]
+    shares = ordered.mapInArrow(ends, "_depth int, _id long, _zeros double, _ones double, _below double").groupBy("_depth", "_id").agg(
+        *[F.sum(c).alias(c) for c in names[2:]]).toArrow().sort_by([("_depth", "ascending"), ("_id", "ascending")])
+    depth, *columns = (shares[c].to_numpy() for c in names)
+    whole = joined([Level(*[c[depth == d] for c in columns]) for d in range(DEPTH + 1)])
+    # plain arrays: what is broadcast is not sent with its class
+    sent = counts.sparkSession.sparkContext.broadcast([(x.ids, x.zeros, x.ones, x.below) for x in whole])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if part := held(batches):
+            log = predictions(*part[1:], [Level(*x) for x in sent.value])
+            out = pa.table([part[0]["_key"], part[0]["_all"], pa.array(log)], names=["_key", "_all", "_log"])
+            yield from out.to_batches(max_chunksize=1 << 16)
+
+    return stored(ordered.mapInArrow(run, "_key long, _all long, _log double"))
+
+
+def known_and_rare(key: np.ndarray, row: np.ndarray, frequent: np.ndarray, log: np.ndarray, rows: int) -> tuple[np.ndarray, ...]:
+    """Each row's sum over the frequent keys, and the others as row, key and times."""
+    order = np.argsort(key)
+    key, row = key[order], row[order]
+    at = np.searchsorted(frequent, key).clip(0, max(0, len(frequent) - 1))
+    found = frequent[at] == key if len(frequent) else np.zeros(len(key), bool)
+    sums = np.bincount(row[found], log[at[found]], rows) if found.any() else np.zeros(rows)
+    key, row = key[~found], row[~found]
+    order = np.lexsort([row, key])
+    key, row = key[order], row[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    return sums, row[first], key[first], np.diff(first, append=len(key))
 
 
 def score(docs: DataFrame, train: Column) -> DataFrame:
@@ -204,62 +362,71 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     and an end mark; ``score`` is the log10 probability of all of them. The
     base is the unigram with one added to each count and one unknown word.
 
-    Counts of words and contexts cover all training texts and grow with them.
-    What every task holds is bounded: the tree's nodes and the words with at
-    least WORD_SHARE of all tokens. Other words are looked up by a join, in
-    which no key can be hot for the same reason. Words count by 64-bit hash.
+    Counts of words and contexts cover all training texts and grow with them,
+    and every context has its own estimate. What every task holds is bounded:
+    the words with at least WORD_SHARE of all tokens and the contexts with
+    their next byte of at least KEY_SHARE of all positions. Others are looked
+    up by a join, in which no key can be hot for the same reason. Words count
+    by 64-bit hash.
 
     Null and empty texts are one end each. Null and repeated ids are kept: rows
     are told apart by their place in the table. Without training texts all
     bytes are equally likely. Other columns are ignored.
     """
-    counts = stored(gather(docs.where(train)))
+    counts = stored(gather(docs, train))
     words = counts.where("_kind = 0").select("_key", "_n")
     n, v = words.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count("*")).first()
     often = max(1, n * WORD_SHARE)
     known = words.where(F.col("_n") >= often).toArrow().sort_by("_key")
-    tree = context_tree(counts)
-    # plain arrays: what is broadcast is not sent with its class
+    logs = model(counts)
+    usual = max(1, (logs.agg(F.sum("_all")).first()[0] or 0) * KEY_SHARE)
+    likely = logs.where(F.col("_all") >= usual).select("_key", "_log").toArrow().sort_by("_key")
     held = docs.sparkSession.sparkContext.broadcast(
-        (tree.child, tree.log10, known.column("_key").to_numpy(), known.column("_n").to_numpy()))
+        tuple(table.column(c).to_numpy() for table, c in ((known, "_key"), (known, "_n"), (likely, "_key"), (likely, "_log"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        child, log10, frequent, times = held.value
-        tree = Tree(child, log10)
+        frequent, times, keys, log = held.value
         for batch in by_bytes(batches):
             texts = [words_of(text) for text in batch.column("text").to_pylist()]
-            scores = tree.scores(texts)
             rows = batch.column("_row").to_numpy()
-            rare, sums, seen = [], [], []
+            flow, ends = stream(texts)
+            place = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0) - DEPTH)
+            scores, row, key, m = known_and_rare(turned(contexts(flow)), place, keys, log, len(texts))
+            rare, sums, seen = [(np.ones(len(row), np.int8), rows[row], key, m)], [], []
             for row, words in zip(rows, texts):
-                keys, m = np.unique(np.append(hashes(words), END_TOKEN), return_counts=True)
-                at = np.searchsorted(frequent, keys).clip(0, max(0, len(frequent) - 1))
-                found = frequent[at] == keys if len(frequent) else np.zeros(len(keys), bool)
+                key, m = np.unique(np.append(hashes(words), END_TOKEN), return_counts=True)
+                at = np.searchsorted(frequent, key).clip(0, max(0, len(frequent) - 1))
+                found = frequent[at] == key if len(frequent) else np.zeros(len(key), bool)
                 sums.append(float(m[found] @ np.log10(times[at[found]] + 1.0)))
                 seen.append(int(m[found].sum()))
-                rare.append((np.full((~found).sum(), row), keys[~found], m[~found]))
+                rest = (~found).sum()
+                rare.append((np.zeros(rest, np.int8), np.full(rest, row), key[~found], m[~found]))
             own = pa.StructArray.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array([len(words) + 1 for words in texts], pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores)],
                 fields=list(kind.field("_own").type))
-            # a text's own row meets no word; its key, the row, spreads it
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(rows), pa.nulls(len(rows), pa.int32()), own], schema=kind)
-            row, key, m = (np.concatenate(part) for part in zip(*rare))
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(key), pa.array(m.astype(np.int32)), pa.nulls(len(row), own.type)], schema=kind)
+            # a text's own row meets nothing; its key, the row, spreads it
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), 2, np.int8)), pa.array(rows), pa.array(rows), pa.nulls(len(rows), pa.int32()), own], schema=kind)
+            which, row, key, m = (np.concatenate(part) for part in zip(*rare))
+            yield pa.RecordBatch.from_arrays([pa.array(which), pa.array(row), pa.array(key), pa.array(m.astype(np.int32)), pa.nulls(len(row), own.type)], schema=kind)
 
     whole, real = pa.int64(), pa.float64()
-    kind = pa.schema([("_row", whole), ("_key", whole), ("_m", pa.int32()), ("_own", pa.struct(
+    kind = pa.schema([("_kind", pa.int8()), ("_row", whole), ("_key", whole), ("_m", pa.int32()), ("_own", pa.struct(
         [("doc_id", whole), ("n_tokens", whole), ("seen", whole), ("sum", real), ("score", real)]))])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_row"))
-    found = texts.mapInArrow(run, "_row long, _key long, _m int, _own struct<doc_id: long, n_tokens: long, seen: long, sum: double, score: double>")
-    met = found.join(words.where(F.col("_n") < often), "_key", "left")
-    is_word = F.col("_m").isNotNull() & F.col("_n").isNotNull()
-    # one number per rare word and one row per text come together again
+    found = texts.mapInArrow(run, "_kind byte, _row long, _key long, _m int, _own struct<doc_id: long, n_tokens: long, seen: long, sum: double, score: double>")
+    rare = words.where(F.col("_n") < often).select(F.lit(0).cast("byte").alias("_kind"), "_key", F.log10(F.col("_n") + 1).alias("_log"))
+    rare = rare.union(logs.where(F.col("_all") < usual).select(F.lit(1).cast("byte"), "_key", "_log"))
+    met = found.join(rare, ["_kind", "_key"], "left")
+    part = F.col("_m") * F.col("_log")
+    is_word = (F.col("_kind") == 0) & F.col("_log").isNotNull()
+    # one number per rare key and one row per text come together again
     out = met.select(
-        "_row", "_own", F.when(is_word, F.col("_m")).alias("_seen"), F.when(is_word, F.col("_m") * F.log10(F.col("_n") + 1)).alias("_log")
-    ).where("_own is not null or _seen is not null").groupBy("_row").agg(
-        F.max("_own.doc_id").alias("doc_id"), F.max("_own.n_tokens").alias("n_tokens"), F.max("_own.score").alias("score"),
+        "_row", "_own", F.when(is_word, F.col("_m")).alias("_seen"), F.when(is_word, part).alias("_base"), F.when(F.col("_kind") == 1, part).alias("_part")
+    ).where("_own is not null or _seen is not null or _part is not null").groupBy("_row").agg(
+        F.max("_own.doc_id").alias("doc_id"), F.max("_own.n_tokens").alias("n_tokens"),
+        (F.max("_own.score") + F.coalesce(F.sum("_part"), F.lit(0.0))).alias("score"),
         (F.max("_own.seen") + F.coalesce(F.sum("_seen"), F.lit(0))).alias("n_known"),
-        (F.max("_own.sum") + F.coalesce(F.sum("_log"), F.lit(0.0))).alias("_sum"),
+        (F.max("_own.sum") + F.coalesce(F.sum("_base"), F.lit(0.0))).alias("_sum"),
     )
     base = F.col("_sum") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
     return out.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
