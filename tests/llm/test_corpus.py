@@ -351,6 +351,20 @@ def test_large_group_of_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == wanted
 
 
+@pytest.mark.parametrize("block", [1 << 17, 4000])
+def test_links_in_a_crowded_region(spark, monkeypatch, block):
+    """A template family in which all texts are 0.75 alike, some 0.86, when the window of next rows finds nothing."""
+    base = words(8, 120)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "candidates", lambda sets, *_, **__: sets.sparkSession.createDataFrame([], "a long, b long"))
+    tails = [[f"own{k}x{i}" for i in range(20)] for k in range(150)]
+    tails += [[*tails[k][:10], *(f"new{k}x{i}" for i in range(10))] for k in range(12)]
+    tails += [[*tails[0][:12], *(f"more{i}" for i in range(8))]] + [[*tails[1][:19], f"copy{k}"] for k in range(60)]
+    data = [(k, f"{base} {' '.join(tail)}", "en", "s", 0) for k, tail in enumerate(tails)]
+    got = neardup.near_duplicates(documents(spark, data), 3, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_classes(data, 3, 85)
+
+
 def test_near_duplicates_edge_rows(spark):
     docs = documents(spark)
     null = neardup.near_duplicates(docs).where("doc_id is null").collect()

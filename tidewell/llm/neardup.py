@@ -23,6 +23,8 @@ LEAST_DEPTH, REACH = 4, 32
 # A pair is a candidate unless its signatures agree in so few places that the
 # threshold is this many standard deviations away.
 SLACK = 4.5
+# Shingles of a block of rows that are compared with another block, about.
+BLOCK = 1 << 17
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -207,6 +209,77 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(one, "a").join(other, "b").select("a", "b", "_one", "_other").mapInArrow(run, "a long, b long")
 
 
+def _meet(rows: pa.Table, words: int, percent: int) -> pa.Table:
+    """Links between two blocks, or inside one: a spanning forest of all pairs whose full sets are similar."""
+    node, comp, size, side = (rows[c].to_numpy() for c in ("_node", "_comp", "n_shingles", "_side"))
+    label = np.frombuffer(b"".join(rows["_sig"].to_pylist()), np.uint8).reshape(-1, HASHES)
+    texts = rows["_text"].to_pylist()
+    wanted = percent / 100
+    agree = HASHES * wanted - SLACK * np.sqrt(HASHES * wanted * (1 - wanted))
+    two, root, sets = bool(side.any()), comp.copy(), {}
+    links = []
+
+    def shingles(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = shingle_set(texts[k], words)
+        return sets[k]
+
+    for x in range(len(node)):
+        if two and side[x]:
+            continue
+        small, large = np.minimum(size[x], size), np.maximum(size[x], size)
+        open_ = (root != root[x]) & (100 * small >= percent * large)
+        open_ &= side == 1 if two else np.arange(len(node)) > x
+        others = np.flatnonzero(open_)
+        for y in others[(label[others] == label[x]).sum(axis=1) >= agree]:
+            if root[x] != root[y]:
+                one, other = shingles(x), shingles(int(y))
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                if 100 * both >= percent * (len(one) + len(other) - both):
+                    links.append((min(node[x], node[y]), max(node[x], node[y])))
+                    root[root == root[y]] = root[x]
+    ends = np.array(links, np.int64).reshape(-1, 2)
+    return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
+
+
+def crowded(sets: DataFrame, plain: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """Links between components among rows whose order has more than REACH others with LEAST_DEPTH common bytes.
+
+    All of a run's rows in different components are compared, in pairs of
+    blocks of about BLOCK shingles. A component that fills blocks of its own
+    isn't compared with itself, so a large group of copies costs its length.
+
+    ``sets``: ``_node, _comp, n_shingles, _sig``; ``plain``: ``_id, _text`` of all documents.
+    """
+    run, weight = ["_tree", "_head"], F.col("n_shingles") + 64
+    heads = F.explode(F.array(*[
+        F.struct(F.lit(t).alias("_tree"), F.expr(f"substring(_sig, {t * ORDER_STEP + 1}, {LEAST_DEPTH})").alias("_head")) for t in range(ORDERS)]))
+    rows = sets.select("_node", "_comp", "n_shingles", "_sig", heads.alias("_o")).select("_node", "_comp", "n_shingles", "_sig", "_o.*")
+    of_comp = rows.groupBy(*run, "_comp").agg(F.count("*").alias("_n"), F.sum(weight).alias("_own"))
+    few = F.sum(F.when(F.col("_own") <= BLOCK, F.col("_own")))
+    runs = settle(of_comp.groupBy(*run).agg(F.sum("_n").alias("_n"), F.count("*").alias("_comps"), few.alias("_few")).where(f"_n > {REACH + 1} and _comps > 1"))
+    if runs.isEmpty():
+        return None
+    large = F.col("_own") > BLOCK
+    planned = settle(of_comp.drop("_n").join(runs.select(*run, "_few"), run).select(
+        *run, "_comp", F.when(large, F.col("_comp").cast("string")).otherwise("few").alias("_owner"),
+        F.ceil(F.when(large, F.col("_own")).otherwise(F.col("_few")) / BLOCK).cast("int").alias("_blocks")))
+    name = lambda number: F.concat_ws("/", "_owner", number.cast("string"))
+    blocks = planned.select(*run, "_owner", "_blocks").distinct().select(*run, "_owner", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_i"))
+    blocks = settle(blocks.select(*run, "_owner", name(F.col("_i")).alias("_block")))
+    left = blocks.select(*run, F.col("_owner").alias("_owner1"), F.col("_block").alias("_left"))
+    right = blocks.select(*run, F.col("_owner").alias("_owner2"), F.col("_block").alias("_right"))
+    pairs = settle(left.join(right, run).where("_left <= _right and (_owner1 = 'few' or _owner1 <> _owner2)").select(*run, "_left", "_right"))
+
+    placed = rows.join(planned, [*run, "_comp"]).withColumn("_block", name(F.pmod(F.xxhash64("_node"), F.col("_blocks"))))
+    texts = plain.join(placed.select(F.col("_node").alias("_id")).distinct(), "_id", "left_semi").distinct()
+    placed = placed.join(texts.withColumnRenamed("_id", "_node"), "_node").select(*run, "_block", "_node", "_comp", "n_shingles", "_sig", "_text")
+    first = placed.withColumnRenamed("_block", "_left").join(pairs, [*run, "_left"]).withColumn("_side", F.lit(0))
+    second = placed.withColumnRenamed("_block", "_right").join(pairs.where("_left <> _right"), [*run, "_right"]).withColumn("_side", F.lit(1))
+    met = first.unionByName(second).groupBy(*run, "_left", "_right")
+    return met.applyInArrow(lambda rows: _meet(rows, words, percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Classes of near-duplicate documents: ``doc_id, n_shingles, component_id, kept``, a row per row of ``docs``.
 
@@ -217,12 +290,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     1. Documents with equal sets become one node before anything is compared.
     2. The nodes' signatures are sorted in several orders (an LSH forest). A
        node's candidates are the rows after it with a common prefix of
-       LEAST_DEPTH bytes or more; in a crowded region the REACH next ones, which
-       share the longest prefixes, so depth follows the region's density.
+       LEAST_DEPTH bytes or more; in a crowded region at first the REACH next
+       ones, which share the longest prefixes.
     3. First only a spanning forest of the candidates, best agreement first, is
        confirmed on the full sets; a group of m copies costs some m pairs.
-    4. Then all candidates that still lie in different components are confirmed,
-       so no candidate is left undecided.
+    4. Then all these candidates that still lie in different components are
+       confirmed.
+    5. In runs of more than REACH + 1 rows with LEAST_DEPTH common bytes, all rows
+       of different components are compared, so no candidate is left undecided.
 
     Texts without words have empty sets and are linked with nothing. Rows with
     a null id are linked with nothing, have a null component and are kept. Rows
@@ -248,6 +323,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         links = links.union(confirmed(rest, texts, words, percent))
         found = settle(components(links))
 
+    joined = sets.join(found.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_comp", F.coalesce("component", "_node"))
+    more = crowded(settle(joined.select("_node", "_comp", "n_shingles", "_sig")), plain, words, percent)
+    if more is not None and not (more := settle(more)).isEmpty():
+        found = settle(components(links.union(more)))
+
     of_set = sets.join(found, F.col("_node") == F.col("node"), "left").select("_d1", "_d2", "n_shingles", F.coalesce("component", "_node").alias("_component"))
     all_ = prints.drop("_sig").join(of_set, ["_d1", "_d2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
