@@ -72,8 +72,32 @@ SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target,
 FROM summed
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+_PHRASES = rf"""
+WITH spoken AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i:i + 9], ' ') AS phrase
+    FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM spoken WHERE len(w) > 0)
+), docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS w FROM documents
+), places AS (
+    SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+), occurs AS (
+    SELECT p.row, p.i, p.size, v.item_id FROM places p JOIN windows v ON p.size = v.size AND array_to_string(p.w[p.i:p.i + p.size - 1], ' ') = v.phrase
+), hits AS (
+    SELECT row, count(*) AS n FROM (SELECT DISTINCT row, unnest(range(i, i + size)) FROM occurs) GROUP BY row
+), named AS (
+    SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS id FROM occurs WHERE item_id IS NOT NULL) GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(m.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits h USING (row) LEFT JOIN named m USING (row)
+"""
+
 ORACLE: dict[str, str] = {
     "op5_minhash": _COMPONENTS,
     "op8_kdtree": _EXACT_TOP,
     "op10_mixing": _MIXED,
+    "op11_phrase_index": _PHRASES,
 }

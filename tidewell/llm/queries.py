@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.functions.session import shared_folder
-from tidewell.llm import ann, bpe, counts, ctw, kdtree, mixing, neardup, ordering, quality, shards
+from tidewell.llm import ann, bpe, counts, ctw, kdtree, mixing, neardup, ordering, postings, quality, shards
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,6 +82,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = postings.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
@@ -93,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kdtree": op8_kdtree,
     "op9_ctw": op9_ctw,
     "op10_mixing": op10_mixing,
+    "op11_phrase_index": op11_phrase_index,
 }
