@@ -95,9 +95,66 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coa
 FROM docs LEFT JOIN hits h USING (row) LEFT JOIN named m USING (row)
 """
 
+_RANKED = rf"""
+WITH documents_ AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS w FROM documents
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS w FROM benchmark
+), wanted AS (
+    SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM items) GROUP BY ALL
+), held AS (
+    SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM documents_) GROUP BY ALL
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM documents_ WHERE len(w) > 0
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM held, totals GROUP BY term
+), adjusted AS (
+    SELECT row, doc_id, 75 + ((25 * CAST(len(w) AS BIGINT) * n_docs) // n_terms) AS m FROM documents_, totals WHERE len(w) > 0
+), scored AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN adjusted USING (row) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+_COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sized AS (
+    SELECT lang, w, unnest([1, 2, 3, 4]) AS k FROM worded
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized WHERE len(w) >= k)
+), often AS (
+    SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS p FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang
+), cuts AS (
+    SELECT lang, phrase, f, cut, array_to_string(p[1:cut], ' ') AS first, array_to_string(p[cut + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k > 1)
+), scores AS (
+    SELECT c.lang, c.phrase, c.f AS a, c.cut, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.f) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+    FROM cuts c JOIN often x ON c.lang = x.lang AND c.first = x.phrase JOIN often y ON c.lang = y.lang AND c.rest = y.phrase
+), lowest AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_ AS (
+    SELECT lang, f, array_to_string(p[i:i + size - 1], ' ') AS phrase FROM (
+        SELECT lang, f, p, size, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM often WHERE k > 2))
+), longer AS (
+    SELECT lang, phrase, max(f) AS f FROM inner_ GROUP BY lang, phrase
+), kept AS (
+    SELECT s.* FROM lowest s LEFT JOIN longer g USING (lang, phrase) WHERE g.f IS NULL OR 100 * CAST(g.f AS HUGEINT) < 80 * CAST(s.a AS HUGEINT)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op5_minhash": _COMPONENTS,
     "op8_kdtree": _EXACT_TOP,
     "op10_mixing": _MIXED,
     "op11_phrase_index": _PHRASES,
+    "op12_reversed_search": _RANKED,
+    "op13_collocations": _COLLOCATIONS,
 }

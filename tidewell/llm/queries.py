@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.functions.session import shared_folder
-from tidewell.llm import ann, bpe, counts, ctw, kdtree, mixing, neardup, ordering, postings, quality, shards
+from tidewell.llm import ann, bpe, collocations, counts, ctw, kdtree, mixing, neardup, ordering, postings, quality, reversed_search, shards
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +90,14 @@ def op11_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, first=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
@@ -102,4 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ctw": op9_ctw,
     "op10_mixing": op10_mixing,
     "op11_phrase_index": op11_phrase_index,
+    "op12_reversed_search": op12_reversed_search,
+    "op13_collocations": op13_collocations,
 }
