@@ -12,6 +12,27 @@ from oracle.tables import (
 )
 
 Q: dict[str, str] = {}
+
+
+def over_degraded(sql: str) -> str:
+    """The same SQL with d_* and dv_* tables for b_* and v_*, and helpers built on those alike."""
+
+    def other(m: re.Match) -> str:
+        kind, name = m.groups()
+        if kind == "x":
+            if over_degraded(T.get(f"x_{name}", "")) == T.get(f"x_{name}", ""):
+                return m[0]
+            T[f"x_degraded_{name}"] = over_degraded(T[f"x_{name}"])
+            return f"x_degraded_{name}"
+        target = f"{'d' if kind == 'b' else 'dv'}_{name}"
+        return target if target in T else m[0]
+
+    return re.sub(r"\b(b|v|x)_([a-z0-9_]+)\b", other, sql)
+
+
+T["d_mrr_movements"] = "SELECT * FROM b_mrr_movements"
+for _n in ("customer_xref", "customer_360"):
+    T[f"d_{_n}"] = over_degraded(T[f"b_{_n}"])
 CANONICAL = "('North America','Europe','APAC','LATAM')"
 
 
@@ -21,6 +42,27 @@ def share(window: str) -> str:
 
 OPEN = "stage NOT IN ('closed_won','closed_lost')"
 
+# -- sources ------------------------------------------------------------------
+Q["src_coerce_dates"] = """SELECT o_orderkey, try_cast(day AS DATE) AS order_date, try_cast(strftime(o_orderdate,'%Y-%m-%d 08:30:00') AS TIMESTAMP)::DATE AS ship_date
+    FROM (SELECT *, CASE WHEN o_orderkey%7=0 THEN strftime(o_orderdate,'%Y-')||'13-45' WHEN o_orderkey%11=0 THEN 'n/a'
+        WHEN o_orderkey%13=0 THEN NULL ELSE strftime(o_orderdate,'%Y-%m-%d') END AS day FROM orders)"""
+_STAR = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment", "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": """l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag
+        l_linestatus l_shipdate""",
+    "events": "event_id ts user_id event_type value props", "documents": "doc_id text lang source n_chars",
+}
+Q["src_build_schema"] = " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, CASE WHEN '{c}' LIKE '%date' THEN 'date'
+        WHEN max(typeof({c})) LIKE '%INT%' THEN 'bigint' WHEN max(typeof({c})) IN ('DOUBLE','FLOAT') OR max(typeof({c})) LIKE 'DECIMAL%'
+        THEN 'double' WHEN max(typeof({c}))='BOOLEAN' THEN 'boolean' ELSE 'string' END AS type,
+        count({c}) AS n_values, count(*)-count({c}) AS n_nulls FROM {t}"""
+    for t, columns in _STAR.items() for c in columns.split()
+)
+
 # -- exclusion ----------------------------------------------------------------
 PRICED = "SELECT line_id, order_id, product_id, unit_price FROM d_order_items"
 Q["ex_zero_price"] = f"{PRICED} WHERE unit_price>0"
@@ -184,7 +226,7 @@ Q["prf_raw_vs_clean"] = " UNION ALL ".join(
     f"""SELECT raw_rows, clean_rows, raw_rows-clean_rows AS excluded,
     {rnd(pct('raw_rows-clean_rows', 'raw_rows'), 2)} AS excluded_pct, '{n}' AS table_name
     FROM (SELECT (SELECT count(*) FROM d_{n}) AS raw_rows, (SELECT count(*) FROM dv_{n}) AS clean_rows)"""
-    for n in ("customers", "orders", "payments", "activities")
+    for n in VIEW_NAMES
 )
 _COLUMNS = {
     "customers": "customer_id company_name customer_type region segment industry acquisition_date acquisition_channel status annual_revenue_tier",
@@ -196,6 +238,17 @@ _COLUMNS = {
     "feature_adoption": "adoption_id saas_customer_id feature_module first_used_date last_used_date total_events monthly_active_users adoption_depth",
     "activities": "activity_id account_id activity_date activity_type subject notes outcome",
     "accounts": "account_id customer_id owner account_tier health_score last_contact_date next_renewal_date",
+    "products": "product_id product_name category subcategory unit_price cost launch_date status",
+    "saas_customers": "saas_customer_id customer_id plan_tier signup_date contract_months mrr status usage_score",
+    "mrr_movements": "movement_id saas_customer_id movement_date movement_type amount previous_mrr new_mrr",
+    "saas_users": "user_id saas_customer_id email role created_date last_login_date status",
+    "invoices": "invoice_id order_id customer_id invoice_date due_date amount status",
+    "payments": "payment_id invoice_id payment_date amount method days_to_pay is_late",
+    "opportunities": "opp_id account_id opp_name stage amount close_date probability product_interest",
+    "customer_xref": "customer_id ecommerce_id saas_customer_id account_id payment_customer_id",
+    "customer_360": """customer_id company_name region segment total_orders total_revenue total_returns return_rate saas_plan
+        saas_mrr saas_usage_score dau_mau_ratio features_adopted avg_session_minutes avg_days_to_pay late_payment_pct
+        account_health last_activity_date open_opportunities lifetime_value""",
 }
 T["x_null_rates"] = " UNION ALL ".join(
     f"""SELECT '{t}' AS table_name, '{c}' AS column_name,
@@ -211,8 +264,9 @@ Q["prf_orphan_rate"] = " UNION ALL ".join(
     for c, p, k in (("orders", "customers", "customer_id"), ("payments", "invoices", "invoice_id"))
 )
 Q["prf_outlier_counts"] = " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count(*) AS outliers FROM d_order_items,
-    (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM d_order_items) WHERE abs({c}-m)>3*s"""
+    f"""SELECT '{c}' AS column_name, count(*) AS outliers FROM d_order_items, (SELECT m, sqrt(greatest(q-m*m,0)) AS s FROM
+    (SELECT sum(x)::DOUBLE/count(*) AS m, sum(x::HUGEINT*x)::DOUBLE/count(*) AS q FROM (SELECT {fixed(c)} AS x FROM d_order_items)))
+    WHERE abs({fixed(c)}-m)>3*s"""
     for c in ("quantity", "unit_price", "line_total")
 )
 Q["prf_encoding_counts"] = " UNION ALL ".join(
@@ -613,9 +667,6 @@ _TABLES = (
     "saas_users", "usage_events", "feature_adoption", "invoices", "payments", "accounts", "activities",
     "opportunities", "customer_xref", "customer_360",
 )
-for _n in ("mrr_movements",):
-    T[f"d_{_n}"] = f"SELECT * FROM b_{_n}"
-T["d_customer_xref"] = T["d_customer_360"] = "SELECT customer_id FROM d_customers"
 Q["val_row_counts"] = " UNION ALL ".join(
     f"SELECT '{t}' AS metric, count(*)::DOUBLE AS actual, {NOTHING} FROM d_{t}" for t in _TABLES
 )
@@ -665,28 +716,18 @@ Q["val_user_concentration"] = f"""SELECT 'top20_share_pct' AS metric, top_share_
 # -- reports over degraded tables ------------------------------------------------------
 
 
-def over_degraded(sql: str) -> str:
-    """The same SQL with d_* and dv_* tables for b_* and v_*, and helpers built on those alike."""
-
-    def other(m: re.Match) -> str:
-        kind, name = m.groups()
-        if kind == "x":
-            if over_degraded(T.get(f"x_{name}", "")) == T.get(f"x_{name}", ""):
-                return m[0]
-            T[f"x_degraded_{name}"] = over_degraded(T[f"x_{name}"])
-            return f"x_degraded_{name}"
-        target = f"{'d' if kind == 'b' else 'dv'}_{name}"
-        return target if target in T else m[0]
-
-    return re.sub(r"\b(b|v|x)_([a-z0-9_]+)\b", other, sql)
-
-
 for _name in (
     "exec_kpis", "monthly_revenue", "yoy_performance", "region_share", "region_year_share", "customer_mix",
     "status_by_segment", "acquisition_monthly", "ecommerce_kpis", "quarterly_revenue", "q2_category_yoy",
     "category_monthly", "product_mix", "top_subcategories", "category_summary", "discount_by_segment",
     "monthly_return_rate", "return_reasons", "returns_by_category", "payments_kpis", "dtp_monthly", "dtp_hist",
-    "segment_method_dtp", "segment_vs_terms", "method_mix", "quarterly_ar",
+    "segment_method_dtp", "segment_vs_terms", "method_mix", "quarterly_ar", "saas_kpis", "saas_status_churn",
+    "plan_status_metrics", "mrr_total", "mrr_movement_totals", "mrr_waterfall", "churn_monthly", "churn_tenure",
+    "churn_cliff_share", "tickets_monthly_priority", "ticket_resolution", "ticket_categories", "unresolved_rate",
+    "usage_score_hist", "product_kpis", "user_event_stats", "adoption_depth", "event_types", "feature_launch_ramp",
+    "feature_launch_rollup", "module_penetration", "adopters_vs_rest", "crm_kpis", "pipeline_funnel", "pipeline_by_stage",
+    "pipeline_by_product", "health_hist", "tier_summary", "activity_monthly", "activity_outcomes", "rep_leaderboard",
+    "health_vs_activity", "activity_by_tier",
 ):
     Q[f"{_name}_governed"] = over_degraded(Q[_name])
 

@@ -1,7 +1,13 @@
 """What the plans must look like at scale."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+from tidewell.catalogue import QUERIES
+from tidewell.functions.session import _SQL_SETTINGS
 from tidewell.plans.reports import ecommerce, executive, product
 from tidewell.sources.star import star
 
@@ -28,10 +34,52 @@ def test_returns_by_category_makes_no_pairs(spark):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_no_whole_table_window(spark):
-    """Users are ranked in buckets; the only unpartitioned windows see bucket counts."""
-    text = plan(product.pareto_users(star(spark, SF)))
-    assert "row_number() windowspecdefinition(_down" in text
+@pytest.mark.parametrize("name", ["pareto_users", "flg_all"])
+def test_no_whole_table_window(spark, name):
+    """Rows are numbered in buckets of their keys; windows without a partition see counts per digit or rule only."""
+    text = plan(QUERIES[name](spark, SF))
+    windows = re.findall(r"windowspecdefinition\(([^()]*)", text)
+    whole = [w for w in windows if re.match(r"\S+ ASC|\S+ DESC", w.split(", ")[0])]
+    assert windows and all(re.match(r"_d0#|rule_id#", w) for w in whole)
+    numbered = re.findall(r"row_number\(\) windowspecdefinition\(([^()]*)", text)
+    assert numbered and all("_d0#" in w and "_d1#" in w for w in numbered)
+
+
+def scans(df) -> list[str]:
+    """Tables that the plan reads when it has run; an exchange read again isn't one."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    found = re.findall(r"FileScan parquet \[(\w)", final)
+    return ["lineitem" if c == "l" else c for c in found]
+
+
+def test_quantile_reads_its_table_once(spark):
+    """One reading of the lines for the quantile, one for the rows it caps."""
+    assert scans(QUERIES["nrm_cap_percentile"](spark, SF)).count("lineitem") == 2
+    assert scans(QUERIES["discount_by_segment"](spark, SF)).count("lineitem") <= 2
+
+
+@pytest.mark.parametrize("name", ["cv_customers", "deg_report", "flg_all"])
+def test_edits_stay_in_generated_code(spark, name):
+    assert "transform(" not in QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_exact_moments_use_no_decimals_per_row(spark):
+    text = QUERIES["flg_outlier"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    sums = re.findall(r"sum\((.*?)\) AS", text)
+    assert sums and not any("decimal" in x for x in sums)
+
+
+def test_registered_queries_apply_the_settings(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        spark.conf.set(key, "65535")
+        contract.queries()["region_share"](spark, SF)
+        assert all(spark.conf.get(k) == v for k, v in _SQL_SETTINGS.items())
+    finally:
+        spark.conf.set(key, _SQL_SETTINGS[key])
 
 
 def test_hot_key_join_is_split(spark):
@@ -72,8 +120,10 @@ def test_lazy_queries_start_no_job(spark):
     w = star(spark, SF)
     spark.sparkContext.setJobGroup("building", "building")
     try:
-        for build in (product.top_share, product.user_event_stats, ecommerce.discount_by_segment):
+        for build in (product.top_share, product.user_event_stats, product.pareto_users, product.pareto_sample, ecommerce.discount_by_segment):
             build(w)
+        for name in ("flg_all", "flg_summary", "cv_reconcile", "nrm_cap_percentile"):
+            QUERIES[name](spark, SF)
         assert spark.sparkContext.statusTracker().getJobIdsForGroup("building") == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidewell.functions.ranking import cumulate, positions, quantiles
+from tidewell.functions.ranking import cumulate, numbered, positions, quantiles
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +54,20 @@ def test_quantiles_match_numpy(spark):
 def test_weighted_quantile(spark):
     df = spark.createDataFrame([(1, 3), (5, 1)], "v bigint, n bigint")
     assert quantiles(df, [], "v", {"m": 0.5}, "n").first().m == 1.0
+
+
+def test_quantiles_keep_null_groups_and_tell_empty(spark):
+    df = spark.createDataFrame([(None, 1), (None, 3), ("a", 7), ("b", None)], "g string, v bigint")
+    got = {r.g: (r.m, r.top) for r in quantiles(df, ["g"], "v", {"m": 0.5, "top": 1.0}).collect()}
+    assert got == {None: (2.0, 3.0), "a": (7.0, 7.0)}
+    assert quantiles(df.limit(0), [], "v", {"m": 0.5}).collect()[0].m is None
+
+
+def test_numbered(spark, skewed):
+    df = spark.createDataFrame(skewed, "g string, first bigint, second bigint").repartition(5)
+    got = {(r.g, r.first, r.second): r.nr for r in numbered(df, ["g", "first", "second"], "nr").collect()}
+    assert got == {k: i for i, k in enumerate(sorted((g, f, s) for g, f, s in skewed), 1)}
+    assert numbered(df.limit(0), ["g", "first", "second"], "nr").collect() == []
+    plan = numbered(df.withColumn("text", F.lit("x")), ["g", "first", "second"], "nr")
+    plan.collect()
+    assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString() or "rangepartitioning" in plan._jdf.queryExecution().executedPlan().toString()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from tidewell.operators import degrade, exclude, flags, normalize, profile
 from tidewell.plans import calibrate, rollups, views
 from tidewell.plans.reports import crm, ecommerce, executive, payments, product, saas
 from tidewell.plans.reports.shared import n_rows
-from tidewell.sources.star import star
+from tidewell.sources.catalog import build_schema, coerce_dates, column_types
+from tidewell.sources.schemas import BASE_TABLES
+from tidewell.sources.star import STAR_DDL, load_star, star
 from tidewell.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +41,31 @@ def dirty(f: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, directory: f(degrade.degraded(star(spark, directory), TYPO_YEARS))
 
 
+# -- sources ------------------------------------------------------------------
+
+
+def _text_dates(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders with their days as text, some of which are no dates, read back as dates."""
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.when(key % 7 == 0, F.concat(F.substring(day, 1, 5), F.lit("13-45"))).when(key % 11 == 0, "n/a").when(key % 13 == 0, None).otherwise(day)
+    shipped = F.concat(day, F.lit(" 08:30:00"))
+    orders = load_star(spark, directory, "orders").select("o_orderkey", text.alias("order_date"), shipped.alias("ship_date"))
+    return coerce_dates(orders, ["order_date", "ship_date", "no_such_column"])
+
+
+def _warehouse_types(spark: SparkSession, directory: str) -> DataFrame:
+    """Every star table with warehouse types: what its columns become, and how many values they hold."""
+    parts = []
+    for table in STAR_DDL:
+        raw = load_star(spark, directory, table)
+        days = [f.name for f in raw.schema.fields if f.name.endswith("date")]
+        parts.append(column_types(build_schema(coerce_dates(raw, days), days), table))
+    return reduce(DataFrame.unionByName, parts)
+
+
+SOURCES: dict[str, Query] = {"src_coerce_dates": _text_dates, "src_build_schema": _warehouse_types}
+
+
 # -- exclusion ----------------------------------------------------------------
 
 
@@ -194,12 +222,6 @@ FLAGS |= {
 
 # -- profiling --------------------------------------------------------------------
 
-PROFILED = (
-    "customers", "orders", "order_items", "returns", "support_tickets", "usage_events", "feature_adoption", "activities",
-    "accounts",
-)
-
-
 def _over(tables: tuple[str, ...], f: Callable[[DataFrame, str], DataFrame]) -> Query:
     def query(w: Warehouse) -> DataFrame:
         report = None
@@ -217,11 +239,7 @@ def _orphan_rates(w: Warehouse) -> DataFrame:
 
 
 def _raw_vs_clean(w: Warehouse) -> DataFrame:
-    report = None
-    for table in ("customers", "orders", "payments", "activities"):
-        part = profile.raw_vs_clean(w[table], w[f"v_{table}_clean"]).withColumn("table_name", F.lit(table))
-        report = part if report is None else report.unionByName(part)
-    return report
+    return profile.with_excluded_share(views.reconcile(w)).withColumn("table_name", F.regexp_extract("view_name", "^v_(.*)_clean$", 1)).drop("view_name")
 
 
 DATED = [("orders", "order_date"), ("payments", "payment_date"), ("activities", "activity_date"),
@@ -229,8 +247,8 @@ DATED = [("orders", "order_date"), ("payments", "payment_date"), ("activities",
 
 PROFILES: dict[str, Query] = {
     "prf_raw_vs_clean": dirty(_raw_vs_clean),
-    "prf_null_rates": _over(PROFILED, profile.null_rates),
-    "prf_completeness_alert": _over(PROFILED, profile.completeness_alert),
+    "prf_null_rates": _over(BASE_TABLES, profile.null_rates),
+    "prf_completeness_alert": _over(BASE_TABLES, profile.completeness_alert),
     "prf_orphan_rate": dirty(_orphan_rates),
     "prf_outlier_counts": dirty(
         lambda w: profile.outlier_counts(w["order_items"], ["quantity", "unit_price", "line_total"])
@@ -414,6 +432,14 @@ GOVERNED: dict[str, Query] = {
         ecommerce.monthly_return_rate, ecommerce.return_reasons, ecommerce.returns_by_category,
         payments.payments_kpis, payments.dtp_monthly, payments.dtp_hist, payments.segment_method_dtp,
         payments.segment_vs_terms, payments.method_mix, payments.quarterly_ar,
+        saas.saas_kpis, saas.saas_status_churn, saas.plan_status_metrics, saas.mrr_total, saas.mrr_movement_totals,
+        saas.mrr_waterfall, saas.churn_monthly, saas.churn_tenure, saas.churn_cliff_share, saas.tickets_monthly_priority,
+        saas.ticket_resolution, saas.ticket_categories, saas.unresolved_rate, saas.usage_score_hist,
+        product.product_kpis, product.user_event_stats, product.adoption_depth, product.event_types,
+        product.feature_launch_ramp, product.feature_launch_rollup, product.module_penetration, product.adopters_vs_rest,
+        crm.crm_kpis, crm.pipeline_funnel, crm.pipeline_by_stage, crm.pipeline_by_product, crm.health_hist,
+        crm.tier_summary, crm.activity_monthly, crm.activity_outcomes, crm.rep_leaderboard, crm.health_vs_activity,
+        crm.activity_by_tier,
     )
 }
 
@@ -431,6 +457,6 @@ CHECKS: dict[str, Query] = {
 }
 
 QUERIES: dict[str, Query] = {
-    **EXCLUSIONS, **NORMALISATIONS, **CLEAN_VIEWS, **FLAGS, **PROFILES, **DEGRADATIONS, **DERIVED, **REPORTS,
+    **SOURCES, **EXCLUSIONS, **NORMALISATIONS, **CLEAN_VIEWS, **FLAGS, **PROFILES, **DEGRADATIONS, **DERIVED, **REPORTS,
     **GOVERNED, **CHECKS,
 }

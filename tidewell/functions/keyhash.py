@@ -38,7 +38,12 @@ def drawn(key: Column | str, salt: str, low: float, high: float) -> Column:
     Rules that share a salt take neighbouring ranges: one draw serves all, and
     no row is hit twice.
     """
-    return (draw(key, salt) < F.lit(int(high * PRIME))) & (draw(key, salt) >= F.lit(int(low * PRIME)))
+    return in_span(draw(key, salt), low, high)
+
+
+def in_span(drawn_number: Column, low: float, high: float) -> Column:
+    """The same for a draw that a column holds."""
+    return (drawn_number < F.lit(int(high * PRIME))) & (drawn_number >= F.lit(int(low * PRIME)))
 
 
 def number(key: Column | str, salt: str) -> Column:

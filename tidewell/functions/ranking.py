@@ -80,6 +80,70 @@ def positions(df: DataFrame, group: list[str], keys: list[str], name: str) -> Da
     )
 
 
+def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Add the 1-based position of each row among all rows, ordered by ``keys``, which together are unique.
+
+    Rows are dealt out in ranges and sorted there; a row per range says how many
+    rows lie in it, and the sums of these where its numbers begin. Ranges are
+    counted and numbered from one exchange, in one plan: the counts look at all
+    columns, so that the optimizer finds both readings the same. Should a range
+    hold other keys than were counted, the query fails rather than misnumber.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged, key = df.repartitionByRange(parts, *keys), F.struct(*keys)
+    ranges = ranged.select(F.spark_partition_id().alias("_part"), key.alias("_key"), F.xxhash64(*df.columns).alias("_whole"))
+    ranges = ranges.groupBy("_part").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_first"), F.max("_key").alias("_last"), F.max("_whole").alias("_whole"))
+    # a row per partition
+    ranges = F.broadcast(ranges.withColumn("_before", _prefix_sum("_n", [], "_part")))
+    rows = ranged.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    rows = rows.withColumn("_part", F.shiftright("_at", 33).cast("int")).join(ranges, "_part")
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    same = F.col("_whole").isNotNull() & (place <= F.col("_n")) & key.between(F.col("_first"), F.col("_last"))
+    position = F.when(same, F.col("_before") + place).otherwise(F.raise_error(F.lit("rows were dealt out differently when counted")).cast("bigint"))
+    return rows.select(*df.columns, position.alias(name))
+
+
+def _spots(probabilities: dict[str, float]) -> Column:
+    """Per probability the two ranks around it, 0-based, and how far it lies from the lower one."""
+    found = []
+    for name, p in probabilities.items():
+        spot = (F.col("_total") - 1) * F.lit(float(p))
+        for side, rank in (("low", F.floor(spot)), ("high", F.ceil(spot))):
+            found.append(F.struct(F.lit(f"{name} {side}").alias("_spot"), rank.alias("_rank"), (spot - F.floor(spot)).alias("_share")))
+    return F.explode(F.array(*found))
+
+
+def order_statistics(counted: DataFrame, group: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
+    """The values around each probability, by refining a histogram: ``group, _spot, _share, _value``.
+
+    ``counted`` has one row per (group, value) with the number ``_n``. One
+    aggregate counts the two upper digits of the values; its sums per first
+    digit, then per second, tell in which bucket a rank falls. Only the values
+    of those buckets are ordered, at most 2**22 for a rank.
+    """
+    fine = _digits(counted, value).groupBy(*group, "_d0", "_d1").agg(F.sum("_n").alias("_w"))
+    coarse = fine.groupBy(*group, "_d0").agg(F.sum("_w").alias("_w"))
+    coarse = coarse.withColumns({"_total": F.sum("_w").over(W.partitionBy(*group)), "_before": _prefix_sum("_w", group, "_d0")})
+    wanted = ["_spot", "_rank", "_share"]
+
+    def inside(rows: DataFrame, *keep: str) -> DataFrame:
+        """Rows in whose bucket a rank falls, which is then counted from the bucket's start."""
+        hit = (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_w"))
+        return rows.filter(hit).select(*group, *keep, "_spot", (F.col("_rank") - F.col("_before")).alias("_rank"), "_share")
+
+    def meet(rows: DataFrame, spots: DataFrame, *digits: str) -> DataFrame:
+        same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in digits] + [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in group]
+        return rows.alias("l").join(spots.alias("r"), same).select("l.*", *[f"r.{c}" for c in wanted])
+
+    first = inside(coarse.select(*group, "_d0", "_w", "_before", _spots(probabilities).alias("_at")).select(*group, "_d0", "_w", "_before", "_at.*"), "_d0")
+    second = inside(meet(fine.withColumn("_before", _prefix_sum("_w", [*group, "_d0"], "_d1")), first, "_d0"), "_d0", "_d1")
+    # Without a group these are two rows per probability.
+    values = meet(_digits(counted, value), second if group else F.broadcast(second), "_d0", "_d1").withColumnRenamed("_n", "_w")
+    values = values.withColumn("_before", _prefix_sum("_w", [*group, "_spot"], value))
+    return inside(values, value).withColumnRenamed(value, "_value")
+
+
 def quantiles(
     df: DataFrame, group: list[str], value: str, probabilities: dict[str, float], weight: str | None = None
 ) -> DataFrame:
@@ -87,32 +151,21 @@ def quantiles(
 
     ``probabilities`` maps output column to probability. Values are counted
     before anything is ordered, so a group is never gathered whole. A ``weight``
-    column says how many times a row counts.
+    column says how many times a row counts. Rows without a value are left out;
+    a NULL in a group column is a group.
     """
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    # Four branches below read these counts; they share one exchange (tests/test_plans.py).
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(n.alias("_n"))
-    ranked = cumulate(counted, group, value, "_n", "_at")
-    totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
-    ranked = ranked.join(totals, group) if group else ranked.crossJoin(F.broadcast(totals))
-
-    def value_at(position: Column) -> Column:
-        inside = (F.col("_at") <= position) & (position < F.col("_at") + F.col("_n"))
-        return F.max(F.when(inside, F.col(value)))
-
-    picks = []
-    for name, p in probabilities.items():
-        spot = (F.col("_total") - 1) * F.lit(float(p))
-        picks += [
-            value_at(F.floor(spot)).alias(f"_{name}_lo"),
-            value_at(F.ceil(spot)).alias(f"_{name}_hi"),
-            F.max(spot - F.floor(spot)).alias(f"_{name}_f"),
-        ]
-    picked = ranked.groupBy(*group).agg(*picks)
-    return picked.select(
-        *group,
-        *[
-            (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f")).alias(n)
-            for n in probabilities
-        ],
-    )
+    # Not nullable for the optimizer either: a join on digits of a nullable value
+    # would filter one reading of the counts and not the other, and the table
+    # would be scanned for each (tests/test_plans.py).
+    known = F.coalesce(F.col(value), F.lit(0).cast("bigint")).alias(value)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, known).agg(n.alias("_n"))
+    found = order_statistics(counted, group, value, probabilities)
+
+    def at(spot: str, column: str) -> Column:
+        return F.max(F.when(F.col("_spot") == spot, F.col(column)))
+
+    return found.groupBy(*group).agg(*[
+        (at(f"{name} low", "_value") + (at(f"{name} high", "_value") - at(f"{name} low", "_value")) * at(f"{name} low", "_share")).alias(name)
+        for name in probabilities
+    ])

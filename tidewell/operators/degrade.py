@@ -14,7 +14,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.keyhash import bucket, chosen, drawn, number
+from tidewell.functions.keyhash import bucket, chosen, draw, drawn, in_span, number
 from tidewell.functions.numbers import count_if
 from tidewell.operators.flags import MOJIBAKE
 from tidewell.sources.warehouse import Warehouse
@@ -55,22 +55,17 @@ DUPLICATE_KINDS = ("upper", "lower", "strip_suffix", "add_period")
 TYPO_YEARS: dict[int, int] = {2023: 9, 2024: 18, 2025: 27}
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value once.
-
-    Edits stack on one column, and each reads its input several times. Written
-    out, a filter pushed below them would copy the stack exponentially; as a
-    lambda the input appears once.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def _edit(key: str, salt: str, span: tuple[float, float], column: str, new: Callable[[Column], Column]) -> Column:
-    return let(F.col(column), lambda old: F.when(drawn(key, salt, *span), new(old)).otherwise(old))
+    old = F.col(column)
+    return F.when(drawn(key, salt, *span), new(old)).otherwise(old)
 
 
 def nulled(key: str, column: str, rate: float) -> Column:
-    return F.when(~chosen(key, f"null.{column}", rate), F.col(column))
+    return _edit(key, f"null.{column}", (0.0, rate), column, _blank)
+
+
+def _blank(old: Column) -> Column:
+    return F.lit(None)
 
 
 def null_columns(df: DataFrame, table: str) -> DataFrame:
@@ -84,7 +79,7 @@ def _without(text: Column, *parts: str) -> Column:
     return text
 
 
-def varied_name(key: str, column: str, span: tuple[float, float] = NAME_RANGE, salt: str = "company_name") -> Column:
+def _name_change(key: str, salt: str = "company_name") -> Callable[[Column], Column]:
     kind = bucket(key, salt, 7)
 
     def vary(name: Column) -> Column:
@@ -96,10 +91,14 @@ def varied_name(key: str, column: str, span: tuple[float, float] = NAME_RANGE, s
             .otherwise(F.concat(name, F.lit("  ")))
         )
 
-    return _edit(key, salt, span, column, vary)
+    return vary
 
 
-def region_variant(key: str, column: str, rate: float = REGION_RATE, salt: str = "region") -> Column:
+def varied_name(key: str, column: str, span: tuple[float, float] = NAME_RANGE, salt: str = "company_name") -> Column:
+    return _edit(key, salt, span, column, _name_change(key, salt))
+
+
+def _region_change(key: str, salt: str = "region") -> Callable[[Column], Column]:
     """The planted lists are a few literals, so they ride in the expression."""
 
     def misspell(region: Column) -> Column:
@@ -109,10 +108,14 @@ def region_variant(key: str, column: str, rate: float = REGION_RATE, salt: str =
             case = case.when(region == canonical, F.element_at(F.array(*[F.lit(v) for v in variants]), nr))
         return case.otherwise(region)
 
-    return _edit(key, salt, (0.0, rate), column, misspell)
+    return misspell
 
 
-def whitespace(key: str, column: str, span: tuple[float, float], salt: str) -> Column:
+def region_variant(key: str, column: str, rate: float = REGION_RATE, salt: str = "region") -> Column:
+    return _edit(key, salt, (0.0, rate), column, _region_change(key, salt))
+
+
+def _space_change(key: str, salt: str) -> Callable[[Column], Column]:
     kind = bucket(key, salt, 3)
 
     def loosen(text: Column) -> Column:
@@ -123,61 +126,76 @@ def whitespace(key: str, column: str, span: tuple[float, float], salt: str) -> C
             .when(at > 0, F.concat(head, F.lit(" "), tail)).otherwise(text)
         )
 
-    return _edit(key, salt, span, column, loosen)
+    return loosen
+
+
+def whitespace(key: str, column: str, span: tuple[float, float], salt: str) -> Column:
+    return _edit(key, salt, span, column, _space_change(key, salt))
+
+
+def _day_change(key: str, salt: str = "shift") -> Callable[[Column], Column]:
+    return lambda day: F.date_add(day, (bucket(key, salt, 5) + 3).cast("int"))
 
 
 def shifted_date(key: str, column: str, rate: float = SHIFT_RATE, salt: str = "shift") -> Column:
-    days = (bucket(key, salt, 5) + 3).cast("int")
-    return F.date_add(column, F.when(chosen(key, salt, rate), days).otherwise(0))
+    return _edit(key, salt, (0.0, rate), column, _day_change(key, salt))
+
+
+def _year_change(years: dict[int, int]) -> Callable[[Column], Column]:
+    def mistype(day: Column) -> Column:
+        months = F
+        for year, shift in years.items():
+            months = months.when(F.year(day) == year, 12 * shift)
+        return F.add_months(day, months.otherwise(0))
+
+    return mistype
 
 
 def year_typo(
     key: str, column: str, rate: float = TYPO_RATE, salt: str = "typo", years: dict[int, int] = TYPO_YEARS
 ) -> Column:
-    months = F
-    for year, shift in years.items():
-        months = months.when(F.year(column) == year, 12 * shift)
-    return F.add_months(column, F.when(chosen(key, salt, rate), months.otherwise(0)).otherwise(0))
+    return _edit(key, salt, (0.0, rate), column, _year_change(years))
 
 
-def _scaled(column: str, factor: Column) -> Column:
+def _scaled(price: Column, factor: Column | float) -> Column:
     """Price times a factor; prices that are not positive stay as they are."""
-    return F.col(column) * F.when(F.col(column) > 0, factor).otherwise(1.0)
+    return price * F.when(price > 0, factor).otherwise(1.0)
 
 
-def zeroed(key: str, column: str, span: tuple[float, float] = ZERO_RANGE, salt: str = "price") -> Column:
-    return _scaled(column, F.when(drawn(key, salt, *span), 0.0).otherwise(1.0))
+def _decimal_shift(key: str, salt: str = "price") -> Column:
+    return F.when(bucket(key, salt, 2) == 0, 100.0).otherwise(1000.0)
 
 
-def negated(key: str, column: str, span: tuple[float, float] = NEGATIVE_RANGE, salt: str = "price") -> Column:
-    return _scaled(column, F.when(drawn(key, salt, *span), -1.0).otherwise(1.0))
+def zeroed(key: str, column: str, span: tuple[float, float] = ZERO_RANGE, salt: str = "price") -> Column:
+    return _edit(key, salt, span, column, lambda price: _scaled(price, 0.0))
 
 
-def _decimal_shift(key: str, salt: str) -> Column:
-    return F.when(bucket(key, salt, 2) == 0, 100.0).otherwise(1000.0)
+def negated(key: str, column: str, span: tuple[float, float] = NEGATIVE_RANGE, salt: str = "price") -> Column:
+    return _edit(key, salt, span, column, lambda price: _scaled(price, -1.0))
 
 
 def outlying(key: str, column: str, span: tuple[float, float] = OUTLIER_RANGE, salt: str = "price") -> Column:
-    return _scaled(column, F.when(drawn(key, salt, *span), _decimal_shift(key, salt)).otherwise(1.0))
+    return _edit(key, salt, span, column, lambda price: _scaled(price, _decimal_shift(key, salt)))
 
 
 def spoiled_price(key: str, column: str, salt: str = "price") -> Column:
     """All three price rules in one step; most rows need one digest only."""
     hit = F.when(drawn(key, salt, *ZERO_RANGE), 0.0).when(drawn(key, salt, *NEGATIVE_RANGE), -1.0)
     hit = hit.otherwise(_decimal_shift(key, salt))
-    return _scaled(column, F.when(chosen(key, salt, OUTLIER_RANGE[1]), hit).otherwise(1.0))
+    return _scaled(F.col(column), F.when(chosen(key, salt, OUTLIER_RANGE[1]), hit).otherwise(1.0))
 
 
-def garbled(key: str, column: str, span: tuple[float, float] = MOJIBAKE_RANGE, salt: str = "company_name") -> Column:
-    def garble(text: Column) -> Column:
-        for good, bad in MOJIBAKE.items():
-            text = F.replace(text, F.lit(good), F.lit(bad))
-        return text
+def _garble(text: Column) -> Column:
+    for good, bad in MOJIBAKE.items():
+        text = F.replace(text, F.lit(good), F.lit(bad))
+    return text
 
-    return _edit(key, salt, span, column, garble)
 
+def garbled(key: str, column: str, span: tuple[float, float] = MOJIBAKE_RANGE, salt: str = "company_name") -> Column:
+    return _edit(key, salt, span, column, _garble)
 
-def truncated(key: str, column: str, span: tuple[float, float] = TRUNCATE_RANGE, salt: str = "null.notes") -> Column:
+
+def _cut_change(key: str, salt: str = "null.notes") -> Callable[[Column], Column]:
     """Texts longer than 20 are cut somewhere between 10 and half their length."""
 
     def cut(text: Column) -> Column:
@@ -185,7 +203,11 @@ def truncated(key: str, column: str, span: tuple[float, float] = TRUNCATE_RANGE,
         at = (number(key, salt) % room + 10).cast("int")
         return F.when(F.length(text) > 20, F.substr(text, F.lit(1), at)).otherwise(text)
 
-    return _edit(key, salt, span, column, cut)
+    return cut
+
+
+def truncated(key: str, column: str, span: tuple[float, float] = TRUNCATE_RANGE, salt: str = "null.notes") -> Column:
+    return _edit(key, salt, span, column, _cut_change(key, salt))
 
 
 def near_duplicates(
@@ -208,7 +230,7 @@ def near_duplicates(
 
     top = df.agg(F.max(key)).scalar()
     copies = df.filter(chosen(key, salt, rate)).withColumns({"_kind": kind, "_original": F.col(key)})
-    copies = copies.withColumns({key: top + 1 + F.col("_original"), name: let(F.col(name), vary)})
+    copies = copies.withColumns({key: top + 1 + F.col("_original"), name: vary(F.col(name))})
     tracking = copies.select(
         F.col(key).alias("duplicate_customer_id"), F.col("_original").alias("original_customer_id"),
         F.col("_kind").alias("variation_type"),
@@ -239,47 +261,62 @@ def invoice_ghosts(invoices: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Edit:
-    """A rule of the degradation plan: one column of one table."""
+    """A rule of the degradation plan: rows of a table whose draw falls in ``span`` get a changed value in one column."""
 
     category: str
     rule: str
     table: str
     key: str
     column: str
-    expression: Column
+    salt: str
+    span: tuple[float, float]
+    change: Callable[[Column], Column]
+
+    def hit(self, draws: dict[str, Column]) -> Column:
+        return in_span(draws[self.salt], *self.span)
 
 
 def edits(typo_years: dict[int, int] = TYPO_YEARS) -> list[Edit]:
     """Column edits in the order they apply: NULLs, formats, dates, numbers, encoding."""
-    plan = [Edit("nulled", f"{t}.{c}", t, key, c, nulled(key, c, rate)) for t, key, c, rate in NULL_RULES]
-    customer, activity, line = "customer_id", "activity_id", "line_id"
-    plan += [
-        Edit("format", "company_names", "customers", customer, "company_name", varied_name(customer, "company_name")),
-        Edit("format", "regions", "customers", customer, "region", region_variant(customer, "region")),
-        Edit("format", "whitespace:customers", "customers", customer, "company_name",
-             whitespace(customer, "company_name", NAME_SPACE_RANGE, "company_name")),
-        Edit("format", "whitespace:activities", "activities", activity, "notes", 
-             whitespace(activity, "notes", NOTES_SPACE_RANGE, "null.notes")),
-        Edit("temporal", "shifted_payments", "payments", "payment_id", "payment_date",
-             shifted_date("payment_id", "payment_date")),
-        Edit("temporal", "future_typo:orders", "orders", "order_id", "order_date",
-             year_typo("order_id", "order_date", years=typo_years)),
-        Edit("temporal", "future_typo:activities", "activities", activity, "activity_date",
-             year_typo(activity, "activity_date", years=typo_years)),
-        Edit("numeric", "zero_amounts", "order_items", line, "unit_price", zeroed(line, "unit_price")),
-        Edit("numeric", "negative_amounts", "order_items", line, "unit_price", negated(line, "unit_price")),
-        Edit("numeric", "extreme_outliers", "order_items", line, "unit_price", outlying(line, "unit_price")),
-        Edit("encoding", "mojibake", "customers", customer, "company_name", garbled(customer, "company_name")),
-        Edit("encoding", "truncated", "activities", activity, "notes", truncated(activity, "notes")),
+    customer, activity, line, payment = "customer_id", "activity_id", "line_id", "payment_id"
+    names, notes, typo = "company_name", "null.notes", (0.0, TYPO_RATE)
+    return [Edit("nulled", f"{t}.{c}", t, key, c, f"null.{c}", (0.0, rate), _blank) for t, key, c, rate in NULL_RULES] + [
+        Edit("format", "company_names", "customers", customer, "company_name", names, NAME_RANGE, _name_change(customer)),
+        Edit("format", "regions", "customers", customer, "region", "region", (0.0, REGION_RATE), _region_change(customer)),
+        Edit("format", "whitespace:customers", "customers", customer, "company_name", names, NAME_SPACE_RANGE, _space_change(customer, names)),
+        Edit("format", "whitespace:activities", "activities", activity, "notes", notes, NOTES_SPACE_RANGE, _space_change(activity, notes)),
+        Edit("temporal", "shifted_payments", "payments", payment, "payment_date", "shift", (0.0, SHIFT_RATE), _day_change(payment)),
+        Edit("temporal", "future_typo:orders", "orders", "order_id", "order_date", "typo", typo, _year_change(typo_years)),
+        Edit("temporal", "future_typo:activities", "activities", activity, "activity_date", "typo", typo, _year_change(typo_years)),
+        Edit("numeric", "zero_amounts", "order_items", line, "unit_price", "price", ZERO_RANGE, lambda p: _scaled(p, 0.0)),
+        Edit("numeric", "negative_amounts", "order_items", line, "unit_price", "price", NEGATIVE_RANGE, lambda p: _scaled(p, -1.0)),
+        Edit("numeric", "extreme_outliers", "order_items", line, "unit_price", "price", OUTLIER_RANGE, lambda p: _scaled(p, _decimal_shift(line))),
+        Edit("encoding", "mojibake", "customers", customer, "company_name", names, MOJIBAKE_RANGE, _garble),
+        Edit("encoding", "truncated", "activities", activity, "notes", notes, TRUNCATE_RANGE, _cut_change(activity)),
     ]
-    return plan
+
+
+def _drawn(df: DataFrame, own: list[Edit]) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows with one draw per salt, and the draws by salt."""
+    names = {salt: f"_draw{nr}" for nr, salt in enumerate(dict.fromkeys(e.salt for e in own))}
+    return df.withColumns({name: draw(own[0].key, salt) for salt, name in names.items()}), {salt: F.col(name) for salt, name in names.items()}
 
 
 def _apply(df: DataFrame, table: str, plan: list[Edit], categories: tuple[str, ...]) -> DataFrame:
-    for edit in plan:
-        if edit.table == table and edit.category in categories:
-            df = df.withColumn(edit.column, edit.expression)
-    return df
+    """One CASE per column on the row's draw. The rules of a column share the draw and take separate ranges of it."""
+    own = [e for e in plan if e.table == table and e.category in categories]
+    if not own:
+        return df
+    columns = df.columns
+    df, draws = _drawn(df, own)
+    new = {}
+    for column in dict.fromkeys(e.column for e in own):
+        case = F
+        for edit in own:
+            if edit.column == column:
+                case = case.when(edit.hit(draws), edit.change(F.col(column)))
+        new[column] = case.otherwise(F.col(column))
+    return df.withColumns(new).select(*columns)
 
 
 def degraded(w: Warehouse, typo_years: dict[int, int] = TYPO_YEARS) -> Warehouse:
@@ -319,8 +356,8 @@ def degraded(w: Warehouse, typo_years: dict[int, int] = TYPO_YEARS) -> Warehouse
 def report(w: Warehouse, typo_years: dict[int, int] = TYPO_YEARS) -> DataFrame:
     """Records each rule changes, with totals per category and overall.
 
-    Rules act one after the other, so each is measured on the table as the
-    rules before it leave it, in one pass per table.
+    No two rules hit one value, so each is measured on the value as it was, in
+    one pass per table; garbling is measured on the customers with their copies.
     """
     counts = None
 
@@ -334,16 +371,13 @@ def report(w: Warehouse, typo_years: dict[int, int] = TYPO_YEARS) -> DataFrame:
     starts = {"customers": w["customers"], "": near_duplicates(tidy, "customer_id", "company_name")[0]}
     rest = [e for e in plan if e not in garble]
     for table in [*dict.fromkeys(e.table for e in rest), ""]:
-        df, metrics = starts[table] if table in starts else w[table], []
-        for nr, edit in enumerate([e for e in rest if e.table == table] if table else garble):
-            before = f"_before{nr}"
-            df = df.withColumn(before, F.col(edit.column)).withColumn(edit.column, edit.expression)
-            df = df.withColumn(f"_hit{nr}", ~F.col(before).eqNullSafe(F.col(edit.column))).drop(before)
-            metrics.append((edit, f"_hit{nr}"))
-        row = df.agg(*[count_if(F.col(hit)).alias(hit) for _, hit in metrics])
+        own = [e for e in rest if e.table == table] if table else garble
+        df, draws = _drawn(starts[table] if table in starts else w[table], own)
+        hits = [e.hit(draws) & ~F.col(e.column).eqNullSafe(e.change(F.col(e.column))) for e in own]
+        row = df.agg(*[count_if(hit).alias(f"_{nr}") for nr, hit in enumerate(hits)])
         rules = [
-            F.struct(F.lit(e.category).alias("category"), F.lit(e.rule).alias("rule"), F.col(hit).alias("records"))
-            for e, hit in metrics
+            F.struct(F.lit(e.category).alias("category"), F.lit(e.rule).alias("rule"), F.col(f"_{nr}").alias("records"))
+            for nr, e in enumerate(own)
         ]
         add(row.select(F.inline(F.array(*rules))))
     extra = (

@@ -32,6 +32,18 @@ def exclude_orphans(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return df.join(parent.select(key), key, "left_semi")
 
 
+def mark_known(df: DataFrame, known: DataFrame, key: str, mark: str, known_key: str | None = None) -> DataFrame:
+    """All rows, with ``mark``: whether the key is among the known ones.
+
+    The existence join behind counts of what a rule keeps: kept and excluded
+    rows are told apart in one pass. Known keys are made distinct, so no row
+    multiplies, and a hot key sits on the left only.
+    """
+    keys = known.select(F.col(known_key or key).alias("_met")).distinct()
+    marked = df.join(keys, F.col(key) == F.col("_met"), "left")
+    return marked.withColumn(mark, F.col("_met").isNotNull()).drop("_met")
+
+
 def exclude_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str) -> DataFrame:
     """EX-008 rows whose id is in a tracking table; its key is never NULL."""
     return df.join(listed.select(F.col(listed_key).alias(key)), key, "left_anti")

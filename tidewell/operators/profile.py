@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.numbers import count_if, percent, round_half_up
+from tidewell.functions.moments import mean_and_deviation, moments
+from tidewell.functions.numbers import count_if, fixed, percent, round_half_up
 from tidewell.operators.flags import MOJIBAKE
 from tidewell.operators.normalize import REGION_VARIANTS
 from tidewell.sources.warehouse import Warehouse
@@ -25,11 +26,16 @@ def unpivot(row: DataFrame, entries: list[tuple[str, dict[str, Column]]], key: s
     return row.select(F.inline(F.array(*structs)))
 
 
-def raw_vs_clean(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    counts = _rows(raw).withColumnRenamed("n", "raw_rows").crossJoin(_rows(clean).withColumnRenamed("n", "clean_rows"))
+def with_excluded_share(counts: DataFrame) -> DataFrame:
+    """Counts of raw and clean rows with the excluded ones in percent; 0 where there are none at all."""
     excluded = F.col("raw_rows") - F.col("clean_rows")
     pct = F.coalesce(round_half_up(percent(excluded, F.col("raw_rows")), 2), F.lit(0.0))
-    return counts.select("raw_rows", "clean_rows", excluded.alias("excluded"), pct.alias("excluded_pct"))
+    return counts.withColumns({"excluded": excluded, "excluded_pct": pct})
+
+
+def raw_vs_clean(raw: DataFrame, clean: DataFrame) -> DataFrame:
+    counts = _rows(raw).withColumnRenamed("n", "raw_rows").crossJoin(_rows(clean).withColumnRenamed("n", "clean_rows"))
+    return with_excluded_share(counts)
 
 
 def null_rates(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -60,14 +66,13 @@ def orphan_rate(df: DataFrame, parent: DataFrame, key: str, relation: str) -> Da
     )
 
 
-def outlier_counts(df: DataFrame, columns: list[str], sigmas: float = 3.0) -> DataFrame:
-    """Values further than ``sigmas`` standard deviations from the mean."""
-    bounds = df.agg(
-        *[F.avg(c).alias(f"_m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns]
-    )
-    # One aggregate row, so the broadcast has a fixed size.
+def outlier_counts(df: DataFrame, columns: list[str], sigmas: float = 3.0, digits: int = 2) -> DataFrame:
+    """Values further than ``sigmas`` standard deviations from the mean, in whole steps of 10**-``digits``."""
+    whole = {c: fixed(c, digits) for c in columns}
+    # One row of sums, so the broadcast has a fixed size.
+    bounds = moments(df, whole).select(*[x.alias(f"_{kind}_{c}") for c in columns for kind, x in zip("ms", mean_and_deviation(c))])
     row = df.crossJoin(F.broadcast(bounds)).agg(
-        *[count_if(F.abs(F.col(c) - F.col(f"_m_{c}")) > sigmas * F.col(f"_s_{c}")).alias(c) for c in columns]
+        *[count_if(F.abs(whole[c] - F.col(f"_m_{c}")) > sigmas * F.col(f"_s_{c}")).alias(c) for c in columns]
     )
     return unpivot(row, [(c, {"outliers": F.col(c)}) for c in columns], "column_name")
 
@@ -90,12 +95,10 @@ def future_counts(tables: dict[str, DataFrame], columns: list[tuple[str, str]],
 
 def duplicate_count(tracking: DataFrame, customers: DataFrame) -> DataFrame:
     """Tracked duplicates; clusters of equal name and region and the rows in them."""
-    sizes = customers.filter(F.col("company_name").isNotNull()).groupBy(
-        F.upper(F.trim("company_name")).alias("_norm"), "region"
-    ).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > 1)
-    found = sizes.agg(
-        F.count(F.lit(1)).alias("clusters"), F.coalesce(F.sum("_size"), F.lit(0)).alias("clustered_rows")
-    )
+    sizes = customers.groupBy(F.upper(F.trim("company_name")).alias("_norm"), "region").agg(F.count(F.lit(1)).alias("_size"))
+    # no filter: it would be pushed into the names' making; see ``flags._emit``
+    shared = F.when(F.col("_norm").isNotNull() & (F.col("_size") > 1), F.col("_size"))
+    found = sizes.agg(F.count(shared).alias("clusters"), F.coalesce(F.sum(shared), F.lit(0)).alias("clustered_rows"))
     return tracking.agg(F.count(F.lit(1)).alias("tracked")).crossJoin(found)
 
 

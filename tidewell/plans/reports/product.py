@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidewell.functions.dates import day_key, month_key
 from tidewell.functions.numbers import count_if, money_avg, percent, ratio
 from tidewell.functions.ranking import cumulate, positions, quantiles
-from tidewell.functions.session import settle
 from tidewell.plans.reports.shared import n_rows
 from tidewell.sources.warehouse import Warehouse
 
@@ -55,9 +54,9 @@ def engagement(w: Warehouse, period: str = "month") -> DataFrame:
 
 
 def _users(w: Warehouse) -> DataFrame:
-    return w["v_usage_events_clean"].groupBy("user_id").agg(
-        n_rows().alias("events"), F.countDistinct("session_id").alias("sessions")
-    )
+    """Counted per session first: whatever reads the users, with or without sessions, shares that one exchange of the events."""
+    sessions = w["v_usage_events_clean"].groupBy("user_id", "session_id").agg(n_rows().alias("_n"))
+    return sessions.groupBy("user_id").agg(F.sum("_n").alias("events"), n_rows().alias("sessions"))
 
 
 def _levels(users: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def _levels(users: DataFrame) -> DataFrame:
 
 def pareto_users(w: Warehouse) -> DataFrame:
     """Users by events, most active first, with running shares."""
-    return _ranked_users(settle(_users(w)))
+    return _ranked_users(_users(w))
 
 
 def _ranked_users(users: DataFrame) -> DataFrame:
@@ -92,7 +91,7 @@ def _ranked_users(users: DataFrame) -> DataFrame:
 
 def pareto_sample(w: Warehouse, points: int = 200) -> DataFrame:
     """Every k-th ranked user, k = max(1, users // points): a curve to draw."""
-    users = settle(_users(w))
+    users = _users(w)
     step = users.agg(F.greatest(F.lit(1), F.floor(n_rows() / points))).scalar()
     picked = _ranked_users(users).filter(F.pmod(F.col("rank") - 1, step) == 0)
     return picked.select("rank", "user_rank_pct", "cumulative_pct")

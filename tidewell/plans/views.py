@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.numbers import count_if
 from tidewell.operators import exclude as ex
 from tidewell.operators import normalize as nrm
 from tidewell.sources.warehouse import Warehouse
@@ -113,15 +115,45 @@ def register_views(w: Warehouse) -> list[str]:
     return list(VIEWS)
 
 
-def reconcile(w: Warehouse) -> DataFrame:
-    """Clean, raw and excluded row counts per view, in one aggregation."""
-    rows = None
-    for f in _SOURCES:
-        name = f"v_{f.__name__}_clean"
-        for df, is_clean in ((w[f.__name__], 0), (w[name], 1)):
-            part = df.select(F.lit(name).alias("view_name"), F.lit(is_clean).alias("is_clean"))
-            rows = part if rows is None else rows.union(part)
-    counts = rows.groupBy("view_name").agg(
-        F.sum("is_clean").alias("clean_rows"), F.sum(1 - F.col("is_clean")).alias("raw_rows")
-    )
-    return counts.withColumn("excluded", F.col("raw_rows") - F.col("clean_rows"))
+def _marked(w: Warehouse) -> dict[str, tuple[DataFrame, Column]]:
+    """Per view its raw rows, with marks from existence joins, and the condition under which the view keeps a row.
+
+    The views themselves are semi and anti joins, which drop rows early; here
+    all rows stay, so that one pass counts both kinds.
+    """
+    no_later = {c: F.col(c) <= F.lit(w.rules.cutoff) for c in ("order_date", "payment_date", "activity_date", "close_date")}
+    price, every = F.col("unit_price"), F.lit(True)
+
+    def of_customer(name: str, *more: str) -> DataFrame:
+        return ex.mark_known(w[name].select("customer_id", *more), valid_customers(w), "customer_id", "_known")
+
+    orders_ = of_customer("orders", "order_id", "order_date")
+    good_order = F.col("_known") & no_later["order_date"]
+    good_orders = orders_.filter(good_order).select("order_id")
+    return {
+        "customers": (ex.mark_known(w["customers"].select("customer_id"), w["duplicate_tracking"], "customer_id", "_copy", "duplicate_customer_id"), ~F.col("_copy")),
+        "orders": (orders_, good_order),
+        "order_items": (ex.mark_known(w["order_items"].select("order_id", "unit_price"), good_orders, "order_id", "_known"),
+                        F.col("_known") & (price > 0) & (price < w.rules.price_cap)),
+        "returns": (ex.mark_known(w["returns"].select("order_id"), good_orders, "order_id", "_known"), F.col("_known")),
+        "saas_customers": (of_customer("saas_customers"), F.col("_known")),
+        "support_tickets": (w["support_tickets"], every),
+        "usage_events": (w["usage_events"], F.col("session_id").isNotNull()),
+        "feature_adoption": (w["feature_adoption"], every),
+        "invoices": (of_customer("invoices"), F.col("_known")),
+        "payments": (ex.mark_known(w["payments"].select("invoice_id", "payment_date"), w["invoices"], "invoice_id", "_known"),
+                     F.col("_known") & no_later["payment_date"]),
+        "activities": (w["activities"], no_later["activity_date"]),
+        "opportunities": (w["opportunities"], no_later["close_date"]),
+    }
+
+
+def reconcile(w: Warehouse, names: tuple[str, ...] | None = None) -> DataFrame:
+    """Clean, raw and excluded row counts per view, in one pass over each view's table."""
+    marked = _marked(w)
+    parts = [
+        rows.agg(count_if(kept).alias("clean_rows"), F.count(F.lit(1)).alias("raw_rows")).select(
+            F.lit(f"v_{name}_clean").alias("view_name"), "clean_rows", "raw_rows", (F.col("raw_rows") - F.col("clean_rows")).alias("excluded"))
+        for name, (rows, kept) in marked.items() if names is None or name in names
+    ]
+    return reduce(DataFrame.union, parts)

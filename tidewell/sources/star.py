@@ -39,10 +39,12 @@ STAR_DDL = {
 }
 
 
+def load_star(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    return spark.read.schema(STAR_DDL[name]).parquet(f"{directory}/{name}.parquet")
+
+
 def raw(w: Warehouse, name: str, directory: str) -> DataFrame:
-    return w.once(
-        ("star", name), lambda: w.spark.read.schema(STAR_DDL[name]).parquet(f"{directory}/{name}.parquet")
-    )
+    return w.once(("star", name), lambda: load_star(w.spark, directory, name))
 
 
 def pick(index: Column, *values: str) -> Column:
@@ -86,15 +88,18 @@ def _build_places(w: Warehouse, d: str) -> DataFrame:
     return raw(w, "customer", d).join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
 
-# Accented names, shared by one customer in 40 so that some repeat
-# in a region and some are garbled.
+# Accented names. One customer in 40 has one as it stands, so that
+# some repeat in a region; one in 4 has one before its own, so that some are garbled.
 ACCENTED_NAMES = ("Müller Söhne", "Café Crème", "Peña Mañana", "Grüne Aue", "Åse Bjørn", "Façade Née")
 
 
 def _company_name(suffix: Column) -> Column:
-    """The customer's own name; for every 40th key one of a few accented ones."""
-    shared = pick(F.floor(F.col("c_custkey") / 40) % len(ACCENTED_NAMES), *ACCENTED_NAMES)
-    return F.concat(F.when(F.col("c_custkey") % 40 == 0, shared).otherwise(F.col("c_name")), suffix)
+    def accented(every: int) -> Column:
+        return pick(F.floor(F.col("c_custkey") / every) % len(ACCENTED_NAMES), *ACCENTED_NAMES)
+
+    own = F.when(F.col("c_custkey") % 40 == 0, accented(40))
+    own = own.when(F.col("c_custkey") % 4 == 1, F.concat(accented(4), F.lit(" "), F.col("c_name")))
+    return F.concat(own.otherwise(F.col("c_name")), suffix)
 
 
 def customers(w: Warehouse, d: str) -> DataFrame:
