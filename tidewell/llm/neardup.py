@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewell.functions.session import settle
-from tidewell.llm.common import by_bytes, shuffle_partitions
+from tidewell.llm.common import by_bytes, shuffle_partitions, stored
 from tidewell.llm.components import components
 
 # A signature has one byte per hash function. Each of the ORDERS sorted orders
@@ -23,8 +23,9 @@ LEAST_DEPTH, REACH = 4, 32
 # A pair is a candidate unless its signatures agree in so few places that the
 # threshold is this many standard deviations away.
 SLACK = 4.5
-# Shingles of a block of rows that are compared with another block, about.
-BLOCK = 1 << 17
+# Shingles of a block of rows that are compared with another block, about, and
+# hashes of the sketches they are compared by.
+BLOCK, SKETCH_HASHES = 1 << 20, 512
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -209,35 +210,93 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(one, "a").join(other, "b").select("a", "b", "_one", "_other").mapInArrow(run, "a long, b long")
 
 
-def _meet(rows: pa.Table, words: int, percent: int) -> pa.Table:
-    """Links between two blocks, or inside one: a spanning forest of all pairs whose full sets are similar."""
-    node, comp, size, side = (rows[c].to_numpy() for c in ("_node", "_comp", "n_shingles", "_side"))
-    label = np.frombuffer(b"".join(rows["_sig"].to_pylist()), np.uint8).reshape(-1, HASHES)
-    texts = rows["_text"].to_pylist()
-    wanted = percent / 100
-    agree = HASHES * wanted - SLACK * np.sqrt(HASHES * wanted * (1 - wanted))
-    two, root, sets = bool(side.any()), comp.copy(), {}
+def sketch(shingles: np.ndarray) -> bytes:
+    """Two bits of the smallest hash of the set under each of SKETCH_HASHES other functions, 32 to a word.
+
+    Sharper than a signature: it tells sets that are well below the threshold
+    from those that reach it, so that only these have to be read again.
+    """
+    random = np.random.default_rng(7)
+    flip = random.integers(0, 1 << 63, SKETCH_HASHES, np.uint64)
+    times = random.integers(0, 1 << 63, SKETCH_HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(SKETCH_HASHES, ~np.uint64(0))
+    for at in range(0, len(shingles), 256):
+        least = np.minimum(least, ((shingles[at:at + 256, None] ^ flip) * times).min(axis=0))
+    bits = (least >> np.uint64(8)) & np.uint64(3)
+    return (bits.reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=1, dtype=np.uint64).tobytes()
+
+
+def sketches(plain: DataFrame, words: int) -> DataFrame:
+    """``_node, _sketch`` of every row of ``plain`` (``_id, _text``); stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "_text"):
+            made = [sketch(shingle_set(text, words)) for text in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(made, pa.binary())], names=["_node", "_sketch"])
+
+    return stored(plain.mapInArrow(run, "_node long, _sketch binary"))
+
+
+def _close(rows: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of rows, each with the others of its block pair, or block, in another component whose sketches are as near as similar sets' are.
+
+    A pair is judged only under the first head that its rows share, so it comes
+    up once however many orders bring it together. (Where the run of an earlier
+    shared head is not crowded, it was a candidate before.)
+    """
+    comp, size, side = (rows[c].to_numpy() for c in ("_comp", "n_shingles", "_side"))
+    own = np.frombuffer(b"".join(rows["_sketch"].to_pylist()), np.uint64).reshape(len(comp), -1)
+    heads = np.frombuffer(b"".join(rows["_heads"].to_pylist()), np.uint8).reshape(len(comp), ORDERS, LEAST_DEPTH)
+    wanted = percent / 100 + (1 - percent / 100) / 4
+    most_apart = SKETCH_HASHES * (1 - wanted) + SLACK * np.sqrt(SKETCH_HASHES * wanted * (1 - wanted))
+    low = np.uint64(0x5555555555555555)
+    two, earlier = rows["_left"][0].as_py() != rows["_right"][0].as_py(), rows["_tree"][0].as_py()
+    left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if two else (np.arange(len(comp)),) * 2
+    for k, x in enumerate(left):
+        others = right if two else right[k + 1:]
+        others = others[(comp[others] != comp[x]) & (100 * np.minimum(size[others], size[x]) >= percent * np.maximum(size[others], size[x]))]
+        if earlier and len(others):
+            others = others[~(heads[others, :earlier] == heads[x, :earlier]).all(axis=2).any(axis=1)]
+        if len(others):
+            differ = own[others] ^ own[x]
+            apart = np.bitwise_count((differ | (differ >> np.uint64(1))) & low).sum(axis=1)
+            if len(near := others[apart <= most_apart]):
+                yield int(x), near
+
+
+def _involved(rows: pa.Table, percent: int) -> pa.Table:
+    """The rows that are close to any other: at most the block's rows, however many pairs they make."""
+    near = np.zeros(rows.num_rows, bool)
+    for x, others in _close(rows, percent):
+        near[x] = near[others] = True
+    return rows.filter(pa.array(near))
+
+
+def _linked(rows: pa.Table, words: int, percent: int) -> pa.Table:
+    """Links between close rows whose full sets are similar, but none between rows that others already connect."""
+    node, comp, texts = (rows[c].to_pylist() for c in ("_node", "_comp", "_text"))
+    sets: dict[int, np.ndarray] = {}
+    parent: dict[int, int] = {}
     links = []
 
-    def shingles(k: int) -> np.ndarray:
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def of(k: int) -> np.ndarray:
         if k not in sets:
             sets[k] = shingle_set(texts[k], words)
         return sets[k]
 
-    for x in range(len(node)):
-        if two and side[x]:
-            continue
-        small, large = np.minimum(size[x], size), np.maximum(size[x], size)
-        open_ = (root != root[x]) & (100 * small >= percent * large)
-        open_ &= side == 1 if two else np.arange(len(node)) > x
-        others = np.flatnonzero(open_)
-        for y in others[(label[others] == label[x]).sum(axis=1) >= agree]:
-            if root[x] != root[y]:
-                one, other = shingles(x), shingles(int(y))
-                both = len(np.intersect1d(one, other, assume_unique=True))
-                if 100 * both >= percent * (len(one) + len(other) - both):
+    for x, others in _close(rows, percent):
+        for y in others.tolist():
+            one, other = top(comp[x]), top(comp[y])
+            if one != other:
+                both = len(np.intersect1d(of(x), of(y), assume_unique=True))
+                if 100 * both >= percent * (len(of(x)) + len(of(y)) - both):
                     links.append((min(node[x], node[y]), max(node[x], node[y])))
-                    root[root == root[y]] = root[x]
+                    parent[one] = other
     ends = np.array(links, np.int64).reshape(-1, 2)
     return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
 
@@ -245,39 +304,48 @@ def _meet(rows: pa.Table, words: int, percent: int) -> pa.Table:
 def crowded(sets: DataFrame, plain: DataFrame, words: int, percent: int) -> DataFrame | None:
     """Links between components among rows whose order has more than REACH others with LEAST_DEPTH common bytes.
 
-    All of a run's rows in different components are compared, in pairs of
-    blocks of about BLOCK shingles. A component that fills blocks of its own
-    isn't compared with itself, so a large group of copies costs its length.
+    All of a run's rows in different components are compared, by sketches of
+    128 bytes, in pairs of blocks of about BLOCK shingles; a component that
+    fills blocks of its own isn't compared with itself, so a large group of
+    copies costs its length. Only rows that are close to another go back to
+    their blocks with their texts, and are compared in full there.
 
-    ``sets``: ``_node, _comp, n_shingles, _sig``; ``plain``: ``_id, _text`` of all documents.
+    ``sets``: ``_node, _comp, n_shingles, _sig``; ``plain``: ``_id, _text``, a row per document.
     """
     run, weight = ["_tree", "_head"], F.col("n_shingles") + 64
     heads = F.explode(F.array(*[
         F.struct(F.lit(t).alias("_tree"), F.expr(f"substring(_sig, {t * ORDER_STEP + 1}, {LEAST_DEPTH})").alias("_head")) for t in range(ORDERS)]))
-    rows = sets.select("_node", "_comp", "n_shingles", "_sig", heads.alias("_o")).select("_node", "_comp", "n_shingles", "_sig", "_o.*")
+    all_heads = F.concat(*[F.expr(f"substring(_sig, {t * ORDER_STEP + 1}, {LEAST_DEPTH})") for t in range(ORDERS)])
+    rows = sets.select("_node", "_comp", "n_shingles", all_heads.alias("_heads"), heads.alias("_o")).select("_node", "_comp", "n_shingles", "_heads", "_o.*")
     of_comp = rows.groupBy(*run, "_comp").agg(F.count("*").alias("_n"), F.sum(weight).alias("_own"))
     few = F.sum(F.when(F.col("_own") <= BLOCK, F.col("_own")))
-    runs = settle(of_comp.groupBy(*run).agg(F.sum("_n").alias("_n"), F.count("*").alias("_comps"), few.alias("_few")).where(f"_n > {REACH + 1} and _comps > 1"))
+    runs = stored(of_comp.groupBy(*run).agg(F.sum("_n").alias("_all"), F.count("*").alias("_comps"), few.alias("_few")).where(f"_all > {REACH + 1} and _comps > 1"))
     if runs.isEmpty():
         return None
     large = F.col("_own") > BLOCK
-    planned = settle(of_comp.drop("_n").join(runs.select(*run, "_few"), run).select(
+    planned = stored(of_comp.join(runs.select(*run, "_few"), run).select(
         *run, "_comp", F.when(large, F.col("_comp").cast("string")).otherwise("few").alias("_owner"),
         F.ceil(F.when(large, F.col("_own")).otherwise(F.col("_few")) / BLOCK).cast("int").alias("_blocks")))
     name = lambda number: F.concat_ws("/", "_owner", number.cast("string"))
     blocks = planned.select(*run, "_owner", "_blocks").distinct().select(*run, "_owner", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_i"))
-    blocks = settle(blocks.select(*run, "_owner", name(F.col("_i")).alias("_block")))
+    blocks = stored(blocks.select(*run, "_owner", name(F.col("_i")).alias("_block")))
     left = blocks.select(*run, F.col("_owner").alias("_owner1"), F.col("_block").alias("_left"))
     right = blocks.select(*run, F.col("_owner").alias("_owner2"), F.col("_block").alias("_right"))
-    pairs = settle(left.join(right, run).where("_left <= _right and (_owner1 = 'few' or _owner1 <> _owner2)").select(*run, "_left", "_right"))
+    pairs = stored(left.join(right, run).where("_left <= _right and (_owner1 = 'few' or _owner1 <> _owner2)").select(*run, "_left", "_right"))
 
     placed = rows.join(planned, [*run, "_comp"]).withColumn("_block", name(F.pmod(F.xxhash64("_node"), F.col("_blocks"))))
-    texts = plain.join(placed.select(F.col("_node").alias("_id")).distinct(), "_id", "left_semi").distinct()
-    placed = placed.join(texts.withColumnRenamed("_id", "_node"), "_node").select(*run, "_block", "_node", "_comp", "n_shingles", "_sig", "_text")
-    first = placed.withColumnRenamed("_block", "_left").join(pairs, [*run, "_left"]).withColumn("_side", F.lit(0))
-    second = placed.withColumnRenamed("_block", "_right").join(pairs.where("_left <> _right"), [*run, "_right"]).withColumn("_side", F.lit(1))
-    met = first.unionByName(second).groupBy(*run, "_left", "_right")
-    return met.applyInArrow(lambda rows: _meet(rows, words, percent), "a long, b long").distinct()
+    nodes = stored(placed.select(F.col("_node").alias("_id")).distinct())
+    texts = plain.join(nodes, "_id", "left_semi").distinct().withColumnRenamed("_id", "_node")
+    kept = [*run, "_left", "_right", "_side", "_node", "_comp", "n_shingles", "_heads", "_sketch"]
+    placed = placed.join(sketches(texts.withColumnRenamed("_node", "_id"), words), "_node")
+    first = placed.withColumnRenamed("_block", "_left").join(pairs, [*run, "_left"]).withColumn("_side", F.lit(0)).select(*kept)
+    second = placed.withColumnRenamed("_block", "_right").join(pairs.where("_left <> _right"), [*run, "_right"]).withColumn("_side", F.lit(1)).select(*kept)
+    meeting = first.unionByName(second)
+    near = stored(meeting.groupBy(*run, "_left", "_right").applyInArrow(lambda rows: _involved(rows, percent), meeting.schema))
+    if near.isEmpty():
+        return None
+    read = near.join(texts, "_node").select(*kept, "_text")
+    return read.groupBy(*run, "_left", "_right").applyInArrow(lambda rows: _linked(rows, words, percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -297,34 +365,35 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     4. Then all these candidates that still lie in different components are
        confirmed.
     5. In runs of more than REACH + 1 rows with LEAST_DEPTH common bytes, all rows
-       of different components are compared, so no candidate is left undecided.
+       of different components are compared by sketches, and the near ones of
+       them on the full sets, so no candidate is left undecided.
 
     Texts without words have empty sets and are linked with nothing. Rows with
     a null id are linked with nothing, have a null component and are kept. Rows
     with equal id and text are one document: all or none of them is kept. Other
     columns are ignored; an empty table gives an empty result.
     """
-    prints = settle(fingerprints(docs, words))
+    prints = stored(fingerprints(docs, words))
     named = prints.where("doc_id is not null and n_shingles > 0")
-    sets = settle(named.groupBy("_d1", "_d2", "n_shingles").agg(F.min("doc_id").alias("_node"), F.first("_sig").alias("_sig")))
+    sets = stored(named.groupBy("_d1", "_d2", "n_shingles").agg(F.min("doc_id").alias("_node"), F.first("_sig").alias("_sig")))
 
     pairs = settle(candidates(sets.withColumn("_comp", F.col("_node")), percent, forest=True))
     nodes = settle(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
     plain = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
-    texts = settle(plain.join(nodes, "_id", "left_semi").distinct())
+    texts = stored(plain.join(nodes, "_id", "left_semi").distinct())
     links = settle(confirmed(pairs, texts, words, percent))
     found = settle(components(links))
 
     near = sets.join(nodes, F.col("_node") == F.col("_id"), "left_semi")
     near = near.join(found.withColumnRenamed("node", "_node"), "_node", "left")
-    near = settle(near.withColumn("_comp", F.coalesce("component", "_node")))
+    near = stored(near.withColumn("_comp", F.coalesce("component", "_node")))
     rest = settle(candidates(near, percent, forest=False).join(pairs, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.union(confirmed(rest, texts, words, percent))
         found = settle(components(links))
 
     joined = sets.join(found.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_comp", F.coalesce("component", "_node"))
-    more = crowded(settle(joined.select("_node", "_comp", "n_shingles", "_sig")), plain, words, percent)
+    more = crowded(stored(joined.select("_node", "_comp", "n_shingles", "_sig")), plain, words, percent)
     if more is not None and not (more := settle(more)).isEmpty():
         found = settle(components(links.union(more)))
 
@@ -335,7 +404,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each class of ``near_duplicates``, the one with the smallest id, with the columns it had."""
-    kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return known.union(docs.where("doc_id is null"))
+    """One document of each class of ``near_duplicates``, the one with the smallest id, with the columns it had.
+
+    A document without an id is known by its text, after all that have one; of
+    rows with equal id and text one stays. Texts without words are linked with
+    nothing. Other columns are kept as they are; an empty table stays empty.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    unnamed = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    key = F.coalesce(F.col("doc_id").cast("long"), unnamed)
+    kept = near_duplicates(docs.select(key.alias("doc_id"), "text"), words, percent).where("kept").select(F.col("doc_id").alias("_kept"))
+    known = docs.join(kept.distinct(), key == F.col("_kept"), "left_semi")
+    # only rows whose key repeats are put together, so texts stay where they are
+    repeated = kept.groupBy("_kept").agg(F.count("*").alias("_n")).where("_n > 1").select("_kept")
+    single = known.join(repeated, key == F.col("_kept"), "left_anti").select(*columns)
+    several = known.join(repeated, key == F.col("_kept"), "left_semi").select(*columns)
+    return single.union(several.dropDuplicates(["doc_id", "text"]))
