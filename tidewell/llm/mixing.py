@@ -67,9 +67,11 @@ def plan(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5,
 
     # Per source: the hash digits settled so far and the budget left below them.
     state = sources.select("_rank", F.lit(0).cast("long").alias("_prefix"), (F.col("target") - F.col("_whole") * F.col("source_size")).alias("_left"))
+    few = sources.count() <= FEW_SOURCES
     for digit in range(DIGITS):
         below = DIGIT_BITS * (DIGITS - 1 - digit)
-        inside = ranked.join(state, "_rank").where(F.shiftright("_hash", below + DIGIT_BITS) == F.col("_prefix"))
+        # one row per source, so that the rows of a large source stay where they are
+        inside = ranked.join(F.broadcast(state) if few else state, "_rank").where(F.shiftright("_hash", below + DIGIT_BITS) == F.col("_prefix"))
         buckets = inside.groupBy("_rank", "_left", F.shiftright("_hash", below).alias("_prefix")).agg(F.sum("size").alias("_size"))
         earlier = Window.partitionBy("_rank").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
         buckets = buckets.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
@@ -89,8 +91,9 @@ def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def copies(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """How often the mix takes a row that ``plan`` was joined to."""
-    again = F.when(row_hash(F.col(doc_id), F.col(text)) < F.col("_threshold"), 1).otherwise(0)
+    """How often the mix takes a row that ``plan`` was joined to; one without words only in whole epochs."""
+    spoken = F.coalesce(F.length(F.trim(F.col(text), F.lit(" \t\n\x0b\x0c\r"))) > 0, F.lit(False))
+    again = F.when(spoken & (row_hash(F.col(doc_id), F.col(text)) < F.col("_threshold")), 1).otherwise(0)
     return F.col("_whole") + again
 
 
