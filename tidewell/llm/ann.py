@@ -44,6 +44,18 @@ class Index:
         """For each vector the lists, nearest direction first."""
         return np.argsort(-(vectors @ self.centroids.T), axis=1, kind="stable")
 
+    def nearest(self, vectors: np.ndarray) -> np.ndarray:
+        return np.argmax(vectors @ self.centroids.T, axis=1)
+
+    def probed(self, vectors: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors by place, and the lists that the vectors probe: ``probes`` of the lists that are not empty, and more until they hold ``least`` rows."""
+        ranked = self.ranked(vectors)
+        held = sizes[ranked]
+        filled = np.cumsum(held > 0, axis=1)
+        before = np.cumsum(held, axis=1) - held
+        place, rank = np.nonzero((held > 0) & ((filled <= self.probes) | (before < least)))
+        return place, ranked[place, rank]
+
 
 def _kmeans(points: np.ndarray, lists: int, rounds: int = 10) -> np.ndarray:
     """Centroids of the points' directions."""
@@ -81,7 +93,7 @@ def fit(rows: DataFrame, queries: DataFrame, k: int, recall: float) -> Index:
         place = [np.zeros(0, int)] * len(ids)
         for batch in batches:
             own, x = batch.column("_id").to_numpy(), matrix(batch.column("_v"))
-            scores, lists_of = vectors @ x.T, index.ranked(x)[:, 0]
+            scores, lists_of = vectors @ x.T, index.nearest(x)
             scores[ids[:, None] == own[None, :]] = -np.inf
             for q in range(len(ids)):
                 both, where = np.concatenate([best[q], scores[q]]), np.concatenate([place[q], lists_of])
@@ -168,7 +180,8 @@ def search(vectors: DataFrame, is_query, k: int, key: str = "vec_id", value: str
     Queries are the rows where ``is_query`` (a function of the id column)
     holds; candidates all rows but those with the query's own id. Every row is
     in one list, by its direction; a query probes the lists nearest to it, as
-    many as held a share of ``recall`` of the true neighbours of a sample. A
+    many as held a share of ``recall`` of the true neighbours of a sample, and
+    more where these hold fewer than ``k`` candidates. A
     list of any size is dealt out in blocks of BLOCK_ROWS rows and its queries
     in blocks of BLOCK_QUERIES, so a third of all vectors in one list, or all
     alike, makes more tasks and no longer ones. Scores are inner products of
@@ -191,21 +204,24 @@ def search(vectors: DataFrame, is_query, k: int, key: str = "vec_id", value: str
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = index.ranked(matrix(batch.column("_v")))[:, 0].astype(np.int32)
+            lists = index.nearest(matrix(batch.column("_v"))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists)], names=[*batch.schema.names, "_list"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                lists = index.ranked(matrix(part.column("_v")))[:, :index.probes].astype(np.int32)
-                repeat = pa.array(np.repeat(np.arange(part.num_rows), lists.shape[1]))
-                yield pa.RecordBatch.from_arrays([part.column("_id").take(repeat), pa.array(lists.ravel())], names=["_id", "_list"])
+                place, lists = index.probed(matrix(part.column("_v")), sizes, least)
+                yield pa.RecordBatch.from_arrays([part.column("_id").take(pa.array(place)), pa.array(lists.astype(np.int32))], names=["_id", "_list"])
 
     placed = settle(rows.mapInArrow(assign, "_id long, _v array<double>, _list int"))
-    probing = settle(queries.select("_id", "_v").mapInArrow(probe, "_id long, _list int"))
-    # One number per list comes to the driver: into how many blocks it is dealt.
+    # One number per list comes to the driver: its rows.
     n_rows = dict(placed.groupBy("_list").count().collect())
+    sizes = np.array([n_rows.get(i, 0) for i in range(len(index.centroids))], np.int64)
+    # a query's own rows, should its id repeat, are no candidates
+    least = k + placed.groupBy("_id").count().agg(F.max("count")).first()[0]
+    probing = settle(queries.select("_id", "_v").mapInArrow(probe, "_id long, _list int"))
+    # and its queries
     n_queries = dict(probing.groupBy("_list").count().collect())
     row_blocks = {k_: -(-n // BLOCK_ROWS) for k_, n in n_rows.items()}
     query_blocks = {k_: -(-n // BLOCK_QUERIES) for k_, n in n_queries.items()}

@@ -16,6 +16,9 @@ from tidewell.llm.common import shuffle_partitions
 # Rows of a shard and of a leaf, and queries that visit a shard together.
 SHARD_ROWS, LEAF_ROWS, BLOCK_QUERIES = 16384, 256, 1024
 
+# Scores beyond a long count as the largest or smallest one.
+MOST = (1 << 63) - 1
+
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -62,8 +65,8 @@ def search_shard(tree: Tree, rows: np.ndarray, ids: np.ndarray, query: np.ndarra
         if own is None:
             continue
         scores = rows[own] @ query
-        reach = own[scores >= kth]
-        scores = scores[scores >= kth]
+        enough = (scores >= kth).astype(bool)
+        reach, scores = own[enough], scores[enough]
         keep = ids[reach] != query_id
         reach, scores = reach[keep], scores[keep]
         if len(scores) > k:
@@ -82,13 +85,15 @@ def _search(rows: DataFrame, queries: DataFrame, keys: list[str], k: int) -> Dat
         found = []
         if shard.num_rows and asked.num_rows:
             x, q = matrix(shard["_v"].combine_chunks()), matrix(asked["_q"].combine_chunks())
-            # doubles while all sums stay below 2**53, so exact either way
-            if float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1] < 2.0**53:
-                x, q = x.astype(float), q.astype(float)
-            ids, tree = shard["_id"].to_numpy(), Tree(x)
-            bounds = tree.bounds(q)
+            largest = float(np.abs(x.astype(float)).max(initial=0)) * float(np.abs(q.astype(float)).max(initial=0)) * x.shape[1]
+            ids, tree = shard["_id"].to_numpy(), Tree(x.astype(float))
+            # rounding must not lower a bound below a score it bounds
+            bounds = tree.bounds(q.astype(float)) + largest * 1e-12
+            # doubles are exact while all sums stay below 2**53; beyond a long, Python's numbers are
+            kind = float if largest < 2.0**53 else np.int64 if largest < 2.0**62 else object
+            x, q = x.astype(kind), q.astype(kind)
             for i, (asking, kth) in enumerate(zip(asked["_asking"].to_pylist(), asked["_kth"].to_pylist())):
-                found += [(asking, -i_, s) for s, i_ in search_shard(tree, x, ids, q[i], asking, bounds[i], k, kth)]
+                found += [(asking, -i_, min(max(s, -MOST), MOST)) for s, i_ in search_shard(tree, x, ids, q[i], asking, bounds[i], k, kth)]
         return pa.table({n: pa.array([f[c] for f in found], pa.int64()) for c, n in enumerate(["query_id", "vec_id", "score"])})
 
     left = rows.select("_id", "_v", *keys).repartition(shuffle_partitions(rows), *keys)
@@ -111,6 +116,7 @@ def exact_top_k(vectors: DataFrame, is_query, k: int, scale: int = 256, key: str
     exhaustive where boxes cannot exclude anything (as with many independent
     dimensions), and the result exact in any case.
 
+    Components and scores beyond a long count as the largest or smallest long.
     Vectors that are null or hold null or non-finite components, and null ids,
     take no part; all others must have one length. Repeated ids are repeated
     candidates. Other columns are ignored; an empty table gives an empty result.
@@ -119,7 +125,7 @@ def exact_top_k(vectors: DataFrame, is_query, k: int, scale: int = 256, key: str
     good = usable(vectors, key, value).select("_id", whole.alias("_v"), F.monotonically_increasing_id().alias("_at"))
     rows = settle(good.select("_id", "_v", F.shiftright("_at", 33).cast("int").alias("_part"),
                               F.floor(F.col("_at").bitwiseAND((1 << 33) - 1) / SHARD_ROWS).cast("int").alias("_chunk")))
-    lowest = F.lit(-(1 << 62)).cast("long")
+    lowest = F.lit(-MOST).cast("long")
     asked = rows.where(is_query(F.col("_id")))
     home = settle(_search(rows.withColumn("_block", F.lit(0)), asked.withColumn("_kth", lowest).withColumn("_block", F.lit(0)), ["_part", "_chunk", "_block"], k))
 
