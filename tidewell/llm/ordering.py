@@ -59,7 +59,10 @@ def pack(encoded: DataFrame, end_id: int) -> DataFrame:
         tight = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids = batch.column("ids")
-            values = ids.flatten().to_numpy().astype("<u2")
+            values = ids.flatten().to_numpy()
+            if len(values) and not 0 <= values.min() <= values.max() < PAD:
+                raise ValueError(f"token ids must lie from 0 to {PAD - 1}, here are {values.min()} to {values.max()}")
+            values = values.astype("<u2")
             n = np.array([k or 0 for k in ids.value_lengths().to_pylist()], np.int64)
             stops = np.cumsum(n)
             flow = np.insert(values, stops, end_id).astype("<u2").tobytes()
@@ -84,8 +87,8 @@ def materialise(encoded: DataFrame, path: str, length: int, key: int, end_id: in
     the records, and can stop and go on anywhere.
 
     ``path/shard=k`` holds ``slot, sequence, n_tokens, record``; each record has
-    2 * length bytes, the last sequence is filled with PAD. Ids must be below
-    PAD. Null ids are an empty document. An empty table writes no records.
+    2 * length bytes, the last sequence is filled with PAD. Ids of PAD or
+    more, or below 0, end the write with an error. Null ids are an empty document. An empty table writes no records.
     """
     packed = settle(pack(encoded.select("ids"), end_id).withColumn("_part", F.spark_partition_id()))
     total = packed.agg(F.sum("_n")).first()[0] or 0

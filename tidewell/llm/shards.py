@@ -21,15 +21,20 @@ def by_bytes(items: DataFrame, size: str, order: list[str], shards: int, group:
     first. At most ``shards - 1`` groups are looked at.
 
     Nulls sort first; equal rows are neighbours in any order. ``size`` must be
-    a long and not null. An empty table gives an empty result.
+    a long and not null; ``group`` names the first columns of ``order``. Columns
+    ``shard`` and ``slot`` that the rows had are replaced, all others kept. An
+    empty table gives an empty result.
     """
-    ordered = in_order(items.withColumn("_one", F.lit(1).cast("long")), *[F.col(c) for c in order])
-    placed = running(ordered, _before=size, _at="_one")
-    total = ordered.agg(F.sum(size)).first()[0] or 0
+    # the row travels as one value, so no column of it can clash
+    keys, group = [f"_key{i}" for i in range(len(order))], [f"_key{i}" for i in range(len(group))]
+    rows = items.select(F.struct("*").alias("_item"), F.col(size).alias("_size"), *[F.col(c).alias(k) for c, k in zip(order, keys)], F.lit(1).cast("long").alias("_one"))
+    ordered = in_order(rows, *[F.col(k) for k in keys])
+    placed = running(ordered, _before="_size", _at="_one")
+    total = ordered.agg(F.sum("_size")).first()[0] or 0
     shard: Column = F.least(F.lit(shards - 1), F.floor(F.col("_before") * F.lit(shards) / F.lit(max(total, 1)))).cast("int")
     placed = placed.withColumn("shard", shard)
     if group:
-        for key, to in _torn(placed, size, list(group), keep_together * total / shards):
+        for key, to in _torn(placed, "_size", group, keep_together * total / shards):
             same = F.lit(True)
             for column, value in zip(group, key):
                 same = same & F.col(column).eqNullSafe(F.lit(value))
@@ -37,7 +42,8 @@ def by_bytes(items: DataFrame, size: str, order: list[str], shards: int, group:
         placed = placed.withColumn("shard", shard.cast("int"))
     first = {r["shard"]: r["first"] for r in placed.groupBy("shard").agg(F.min("_at").alias("first")).collect()}
     base = F.element_at(F.array(*[F.lit(first.get(k, 0)).cast("long") for k in range(shards)]), F.col("shard") + 1)
-    return placed.withColumn("slot", F.col("_at") - base).drop("_one", "_before", "_at", "_part")
+    kept = [F.col(f"_item.`{c}`") for c in items.columns if c not in ("shard", "slot")]
+    return placed.select(*kept, "shard", (F.col("_at") - base).alias("slot"))
 
 
 def _torn(placed: DataFrame, size: str, group: list[str], most: float) -> list[tuple[tuple, int]]:
