@@ -1,11 +1,15 @@
 """Vector searches against brute force, and the pipeline's contract."""
 
+from collections import Counter
+
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
-from tests.llm.samples import clashing
-from tidewell.llm import ann, kdtree
+from tests.llm.samples import clashing, documents, words
+from tidewell.llm import ann, bpe, kdtree, mixing, quality
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -106,3 +110,67 @@ def test_pipeline_stages(spark):
         assert out.columns == columns, name
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "minhash_dedup", "source_mixing", "byte_level_bpe"]
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_pipeline_against_a_plain_chain(spark, tmp_path):
+    """Predicted documents, all-pairs classes at five words and 0.8, whole copies by the mix, library token ids."""
+    import corpus_pipeline
+    from tests.llm.test_corpus import plain_classes, plain_mix
+
+    data = []
+    for i in range(160):
+        text = words(i, 60) if i % 4 else words(i, 20).upper() + " !!! $$$ ###"
+        data.append((i, text, "en", None if i % 9 == 0 else f"s{i % 3}", len(text)))
+    for k in range(30):
+        near = words(1 + 4 * k, 60).split()
+        near[k % 60] = "other"
+        data.append((200 + k, " ".join(near), "en", "s1", 0))
+    data += [(300, "", "en", "s0", 0), (301, None, "en", "s2", 0)]
+    folder = str(tmp_path)
+    documents(spark, data).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(160)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+    scored = quality.score(documents(spark, data), spark.read.parquet(f"{folder}/labels.parquet")).collect()
+    good = {r["doc_id"] for r in scored if r["predicted"]}
+    assert {i for i in range(160) if i % 4} <= good and not {i for i in range(160) if i % 4 == 0} & good
+    kept = [r for r in data if r[0] in good]
+    low = plain_classes(kept, 5, 80)
+    kept = [r for r in kept if low[r[0]][1] == r[0]]
+    size, total, target = plain_mix(kept)
+    taken = {r["doc_id"]: (r["taken"], r["size"]) for r in mixing.mix(documents(spark, kept)).collect()}
+    for source in total:
+        own = [taken[r[0]][0] for r in kept if r[3] == source]
+        assert abs(sum(own) - target[source]) <= max(s for r, s in zip(kept, size) if r[3] == source)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(corpus_pipeline.RANKS), special_tokens={})
+    wanted = Counter()
+    for (i, text, *_), n in zip(kept, size):
+        copies = taken[i][0] // n if n else None
+        if copies is None:
+            continue  # follows the whole epochs of its source
+        wanted[i, tuple(library.encode_ordinary(text))] += copies
+    wanted = +wanted
+    got = Counter((r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, folder).collect() if r["n_tokens"])
+    assert got == wanted and len(got) > 60
+
+
+def test_probes_reach_enough_rows_in_small_lists(spark, monkeypatch):
+    """One tight far cluster and few rows per list: every query still finds all it can."""
+    random = np.random.default_rng(8)
+    x = np.concatenate([random.normal(size=(200, 8)), 50 + random.normal(size=(200, 8)) * 1e-3])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    monkeypatch.setattr(ann, "fit", lambda rows, queries, k, recall: ann.Index(
+        np.concatenate([random.normal(size=(30, 8)), np.full((1, 8), -1.0), np.ones((1, 8))]), np.eye(8), 1))
+    got = by_query(ann.search(df, lambda i: F.pmod(i, F.lit(20)) == 0, k=20).collect())
+    assert set(got) == set(range(0, 400, 20)) and all(len(found) == 20 for found in got.values())
+
+
+def test_exact_scores_beyond_doubles_and_longs(spark):
+    random = np.random.default_rng(9)
+    for size in (1e10, 1e16):
+        x = np.round(random.normal(size=(60, 4)) * size)
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = by_query(kdtree.exact_top_k(df, lambda i: F.pmod(i, F.lit(10)) == 0, k=3, scale=1).collect())
+        whole, most = [[int(c) for c in row] for row in x], (1 << 63) - 1
+        for q, found in got.items():
+            exact = {v: max(-most, min(most, sum(a * b for a, b in zip(whole[q], whole[v])))) for v in range(60) if v != q}
+            assert [s for _, s in found] == sorted(exact.values(), reverse=True)[:3] and all(exact[v] == s for v, s in found)
