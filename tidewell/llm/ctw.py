@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ DEPTH, BEGIN, END = 6, 0xFE, 0xFF
 WORD_SHARE, KEY_SHARE = 2.0**-22, 2.0**-24
 # Contexts with their next byte that a task weighs at once, about.
 PART_KEYS = 1 << 18
+# Distinct contexts that a task counts before it passes them on, about.
+HELD_KEYS = 1 << 22
 # The token that ends a text, among the hashes of words.
 END_TOKEN = 0
 _COUNTED = "_kind byte, _key long, _n long, _all long"
@@ -29,10 +32,21 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
+def hashed_counts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct words and how often each occurs; a word is hashed once."""
     import xxhash
 
-    return np.array([xxhash.xxh3_64_intdigest(word) for word in words], np.uint64).view(np.int64)
+    counts = Counter(words)
+    hashed = np.array([xxhash.xxh3_64_intdigest(word) for word in counts], np.uint64).view(np.int64)
+    return hashed, np.fromiter(counts.values(), np.int64, len(counts))
+
+
+def summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in ascending order and the sums of their columns."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else order
+    return keys[first], *[np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns]
 
 
 def stream(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,25 +74,36 @@ def gather(docs: DataFrame, train: Column) -> DataFrame:
     """Counts: ``_kind`` 0 are training words by hash, 1 the turned contexts of all texts with the byte that follows.
 
     ``_n`` counts the texts where ``train`` holds, 0 for what only the others have; ``_all`` counts all.
+    A task adds up what it counts until HELD_KEYS distinct contexts are held.
     """
 
+    def out(kind: int, found: np.ndarray, times: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(found), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found[part]), kind, np.int8)), pa.array(found[part]), pa.array(times[part]), pa.array(total[part])],
+                names=["_kind", "_key", "_n", "_all"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, new, size = (np.zeros(0, np.int64),) * 3, [], 0
         for batch in by_bytes(batches, "text", 2 << 20):
             texts = [words_of(text) for text in batch.column("text").to_pylist()]
             learned = np.array(batch.column("_train").to_pylist(), bool)
-            spoken = hashes([word for words, own in zip(texts, learned) if own for word in words])
+            word, n = hashed_counts([word for words, own in zip(texts, learned) if own for word in words])
+            yield from out(0, np.append(word, END_TOKEN), *[np.append(n, learned.sum())] * 2)
             flow, ends = stream(texts)
             marked = contexts(flow) << 1 | np.repeat(learned, np.diff(ends, prepend=0) - DEPTH)
-            word, n = np.unique(np.concatenate([spoken, np.full(learned.sum(), END_TOKEN)]), return_counts=True)
             key, m = np.unique(marked, return_counts=True)
             first = np.flatnonzero(np.diff(key >> 1, prepend=-1))
-            every, own = np.add.reduceat(m, first), np.add.reduceat(m * (key & 1), first)
-            for kind, found, times, total in ((0, word, n, n), (1, turned(key[first] >> 1), own, every)):
-                for at in range(0, len(found), 1 << 16):
-                    part = slice(at, at + (1 << 16))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found[part]), kind, np.int8)), pa.array(found[part]), pa.array(times[part]), pa.array(total[part])],
-                        names=["_kind", "_key", "_n", "_all"])
+            new.append((key[first] >> 1, np.add.reduceat(m * (key & 1), first), np.add.reduceat(m, first)))
+            size += len(first)
+            if size > HELD_KEYS // 4:
+                held, new, size = summed(*map(np.concatenate, zip(held, *new))), [], 0
+                if len(held[0]) > HELD_KEYS:
+                    yield from out(1, turned(held[0]), *held[1:])
+                    held = (np.zeros(0, np.int64),) * 3
+        key, own, every = summed(*map(np.concatenate, zip(held, *new)))
+        yield from out(1, turned(key), own, every)
 
     learned = F.coalesce(train, F.lit(False)).alias("_train")
     return docs.select("text", learned).mapInArrow(run, _COUNTED).groupBy("_kind", "_key").agg(F.sum("_n").alias("_n"), F.sum("_all").alias("_all"))
@@ -94,105 +119,6 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return series - np.log(rising)
 
 
-def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones seen at the 255 binary nodes of the byte, the node of a prefix of j bits at 2**j - 1 + prefix."""
-    zeros, ones = [], []
-    for j in range(8):
-        halves = counts.reshape(len(counts), 1 << j, 2, 1 << 7 - j).sum(axis=3)
-        zeros.append(halves[:, :, 0])
-        ones.append(halves[:, :, 1])
-    return np.concatenate(zeros, axis=1), np.concatenate(ones, axis=1)
-
-
-def _kt_log(counts: np.ndarray) -> np.ndarray:
-    """Logarithm of the Krichevsky-Trofimov probability of all the bits seen at the binary nodes."""
-    found = np.empty((len(counts), 255))
-    for at in range(0, len(counts), 512):  # what is in work fits the cache
-        zeros, ones = _bits(counts[at:at + 512])
-        found[at:at + 512] = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - np.log(np.pi) - _log_gamma(zeros + ones + 1.0)
-    return found
-
-
-@dataclass
-class Tree:
-    """A tree that fits one process, the plain form of ``predictions``.
-
-    ``child[s, byte]``: the state one byte further back, -1 where the tree ends; ``log10[s, byte]``: of the next byte.
-    """
-
-    child: np.ndarray
-    log10: np.ndarray
-
-    def scores(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each text with its END."""
-        flow, ends = stream(texts)
-        n = len(flow) - DEPTH
-        state, deeper = np.zeros(n, np.int32), np.ones(n, bool)
-        for back in range(1, DEPTH + 1):
-            found = self.child[state, flow[DEPTH - back:DEPTH - back + n]]
-            deeper &= found >= 0
-            state = np.where(deeper, found, state)
-        following = flow[DEPTH:]
-        each = np.where(following == BEGIN, 0.0, self.log10[state, following].astype(float))
-        return np.add.reduceat(each, np.concatenate([[0], ends[:-1] - DEPTH]).clip(0)) if len(texts) else np.zeros(0)
-
-
-def weigh(nodes: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
-    """The mixture of all context trees, from each depth's contexts (ascending) and their 256 byte counts.
-
-    Every binary decision of the next byte has its own weighted context tree.
-    A node either predicts by its own counts or leaves it to its children, with
-    prior weights of one half: P = (KT + product of the children's P) / 2. The
-    contexts too rare for a node of their own form one more child. With all
-    counts known, the weights are fixed and each state's prediction is the
-    mixture of the KT estimates along its path.
-    """
-    starts = np.cumsum([0, *[len(keys) for keys, _ in nodes]])
-    child = np.full((starts[-1], 256), -1, np.int32)
-    parents = [np.zeros(0, int)]
-    for d in range(1, len(nodes)):
-        keys = nodes[d][0]
-        up = np.searchsorted(nodes[d - 1][0], keys & ((1 << 8 * (d - 1)) - 1))
-        parents.append(up)
-        child[starts[d - 1] + up, keys >> 8 * (d - 1)] = starts[d] + np.arange(len(keys))
-
-    own_weight, rest = [], []
-    below = None
-    for d in reversed(range(len(nodes))):
-        counts = nodes[d][1]
-        mine = _kt_log(counts)
-        if d + 1 < len(nodes):
-            rare = counts.copy()
-            np.subtract.at(rare, parents[d + 1], nodes[d + 1][1])
-            theirs = _kt_log(rare)
-            np.add.at(theirs, parents[d + 1], below)
-            below = np.logaddexp(mine, theirs) - np.log(2)
-            own_weight.insert(0, np.exp(mine - np.log(2) - below).astype(np.float32))
-            rest.insert(0, rare)
-        else:
-            below = mine
-            own_weight.insert(0, np.ones_like(mine, np.float32))
-            rest.insert(0, counts)
-
-    log10 = np.empty((starts[-1], 256), np.float32)
-    mixed, left = np.zeros((1, 255)), np.ones((1, 255))
-    for d, (_, counts) in enumerate(nodes):
-        if d:
-            mixed, left = mixed[parents[d]], left[parents[d]]
-        zeros, ones = _bits(counts)
-        mixed = mixed + left * own_weight[d] * (ones + 0.5) / (zeros + ones + 1.0)
-        left = left * (1 - own_weight[d])
-        zeros, ones = _bits(rest[d])
-        one = mixed + left * (ones + 0.5) / (zeros + ones + 1.0)
-        total = np.zeros((len(counts), 256))
-        for j in range(8):
-            p = one[:, (1 << j) - 1:(1 << j + 1) - 1]
-            either = np.stack([1 - p, p], axis=2).reshape(len(counts), 2 << j)
-            total += np.repeat(np.log10(either), 256 >> j + 1, axis=1)
-        log10[starts[d]:starts[d + 1]] = total
-    return Tree(child, log10)
-
-
 def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - np.log(np.pi) - _log_gamma(zeros + ones + 1.0)
 
@@ -394,7 +320,8 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
             scores, row, key, m = known_and_rare(turned(contexts(flow)), place, keys, log, len(texts))
             rare, sums, seen = [(np.ones(len(row), np.int8), rows[row], key, m)], [], []
             for row, words in zip(rows, texts):
-                key, m = np.unique(np.append(hashes(words), END_TOKEN), return_counts=True)
+                key, m = hashed_counts(words)
+                key, m = np.append(key, END_TOKEN), np.append(m, 1)
                 at = np.searchsorted(frequent, key).clip(0, max(0, len(frequent) - 1))
                 found = frequent[at] == key if len(frequent) else np.zeros(len(key), bool)
                 sums.append(float(m[found] @ np.log10(times[at[found]] + 1.0)))
