@@ -25,7 +25,7 @@ LEAST_DEPTH, REACH = 4, 32
 SLACK = 4.5
 # Shingles of a block of rows that are compared with another block, about, and
 # hashes of the sketches they are compared by.
-BLOCK, SKETCH_HASHES = 1 << 20, 512
+BLOCK, SKETCH_HASHES = 1 << 18, 512
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -274,7 +274,7 @@ def _involved(rows: pa.Table, percent: int) -> pa.Table:
 
 def _linked(rows: pa.Table, words: int, percent: int) -> pa.Table:
     """Links between close rows whose full sets are similar, but none between rows that others already connect."""
-    node, comp, texts = (rows[c].to_pylist() for c in ("_node", "_comp", "_text"))
+    node, comp = rows["_node"].to_pylist(), rows["_comp"].to_pylist()
     sets: dict[int, np.ndarray] = {}
     parent: dict[int, int] = {}
     links = []
@@ -286,7 +286,7 @@ def _linked(rows: pa.Table, words: int, percent: int) -> pa.Table:
 
     def of(k: int) -> np.ndarray:
         if k not in sets:
-            sets[k] = shingle_set(texts[k], words)
+            sets[k] = shingle_set(rows["_text"][k].as_py(), words)
         return sets[k]
 
     for x, others in _close(rows, percent):
