@@ -374,6 +374,23 @@ def test_a_template_family_is_not_copied_by_blocks(spark, monkeypatch):
     assert all(r["component_id"] == r["doc_id"] for r in got)
 
 
+def test_crowded_runs_make_no_pairs_of_texts(spark, monkeypatch):
+    """300 texts 0.76 alike, some 0.86: pairs that are read in full grow with the rows, not with what each has around it."""
+    base, read, confirmed = words(8, 130), [], neardup.confirmed
+
+    def counting(pairs, *more):
+        read.append(pairs.count())
+        return confirmed(pairs, *more)
+
+    monkeypatch.setattr(neardup, "confirmed", counting)
+    tails = [[f"own{k}x{i}" for i in range(18)] for k in range(300)]
+    tails += [[*tails[k][:10], *(f"new{k}x{i}" for i in range(8))] for k in range(12)]
+    data = [(k, f"{base} {' '.join(tail)}", "en", "s", 0) for k, tail in enumerate(tails)]
+    got = neardup.near_duplicates(documents(spark, data), 3, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_classes(data, 3, 85)
+    assert sum(read) < 24 * len(data)
+
+
 def test_near_duplicates_edge_rows(spark):
     docs = documents(spark)
     null = neardup.near_duplicates(docs).where("doc_id is null").collect()

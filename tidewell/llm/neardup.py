@@ -132,12 +132,19 @@ def _near(rows: pa.RecordBatch | pa.Table, first_new: int, percent: int, forest:
 def candidates(sets: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Pairs ``a < b`` of nodes that are neighbours in one of the sorted orders and lie in different components.
 
-    ``sets``: ``_node, _comp, n_shingles, _sig``, a row per distinct set.
+    ``sets``: ``_node, _comp, n_shingles, _sig``, a row per distinct set. Without ``forest``, runs of more than
+    REACH + 1 rows with LEAST_DEPTH common bytes are left to ``crowded``, which compares all their rows and reads a
+    text once a block: here each row would bring up to REACH pairs of texts. In the other runs all pairs are met.
     """
     orders = F.explode(F.array(*[
         F.struct(F.lit(t).alias("_tree"), F.expr(f"concat(substring(_sig, {t * ORDER_STEP + 1}), substring(_sig, 1, {t * ORDER_STEP}))").alias("_label"))
         for t in range(ORDERS)]))
     rows = sets.select("_node", "_comp", "n_shingles", orders.alias("_o")).select("_node", "_comp", "n_shingles", "_o.*")
+    if not forest:
+        run_of = ["_tree", "_head"]
+        rows = rows.withColumn("_head", F.substring("_label", 1, LEAST_DEPTH))
+        full = stored(rows.groupBy(*run_of).agg(F.count("*").alias("_n")).where(f"_n > {REACH + 1}").select(*run_of))
+        rows = rows.join(full, run_of, "left_anti").drop("_head")
     # Small tables get few partitions, so that all hold more than REACH rows.
     parts = max(1, min(shuffle_partitions(sets), sets.count() * ORDERS // (64 * REACH)))
     keys = ["_tree", "_label", "_node"]
@@ -362,11 +369,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
        ones, which share the longest prefixes.
     3. First only a spanning forest of the candidates, best agreement first, is
        confirmed on the full sets; a group of m copies costs some m pairs.
-    4. Then all these candidates that still lie in different components are
-       confirmed.
-    5. In runs of more than REACH + 1 rows with LEAST_DEPTH common bytes, all rows
-       of different components are compared by sketches, and the near ones of
-       them on the full sets, so no candidate is left undecided.
+    4. Then all candidates that still lie in different components are
+       confirmed, but for those in runs of more than REACH + 1 rows.
+    5. In these runs all rows of different components are compared by sketches,
+       and the near ones of them on the full sets, so no candidate is left
+       undecided.
 
     Texts without words have empty sets and are linked with nothing. Rows with
     a null id are linked with nothing, have a null component and are kept. Rows
