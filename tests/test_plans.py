@@ -106,6 +106,22 @@ def test_hot_key_join_is_split(spark):
             spark.conf.set(key, value)
 
 
+def test_shuffle_partitions_are_not_merged_beyond_a_tasks_memory(spark):
+    """50 MB of shuffled numbers: merged to 64 MB, one task would sort and group them all."""
+    settings = {"spark.sql.adaptive.coalescePartitions.minPartitionNum": "1", "spark.sql.shuffle.partitions": "64"}
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = spark.range(0, 1500000, 1, 8).select("id", *[F.xxhash64("id", F.lit(k)).alias(f"x{k}") for k in range(3)])
+        grouped = rows.repartition("id").groupBy("id").agg(*[F.max(f"x{k}").alias(f"m{k}") for k in range(3)])
+        tasks = grouped.where("m0 > m1 or m1 >= m2").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert 2 <= tasks < 64
+    finally:
+        for key, value in saved.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_nothing_is_broadcast_by_force(spark):
     """The levels of the power-user curve grow with the events."""
     text = product.pareto_users(star(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
