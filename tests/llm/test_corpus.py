@@ -1,6 +1,7 @@
 """Shards, mixing, classifier, language model and near duplicates against plain Python."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -294,6 +295,32 @@ def test_language_model_of_nothing(spark):
     assert untrained["n_known"] == 0 and abs(untrained["score"] - 3 * math.log10(1 / 256)) < 1e-4
 
 
+def test_contexts_of_a_task_are_counted_in_place():
+    """What a task needs beside the contexts that it holds is smaller than these."""
+    random = np.random.default_rng(3)
+    key, learned = random.integers(0, 1 << 14, 1 << 19), random.integers(0, 2, 1 << 19)
+    marked = key << 1 | learned
+    tracemalloc.start()
+    found = ctw.counted(marked)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < marked.nbytes
+    assert list(zip(*(c.tolist() for c in found))) == [
+        (k, int(n), int(m)) for k, n, m in zip(range(1 << 14), np.bincount(key, learned, 1 << 14), np.bincount(key, minlength=1 << 14)) if m]
+    assert [len(c) for c in ctw.counted(np.zeros(0, np.int64))] == [0, 0, 0]
+
+
+def test_counts_beyond_the_table_of_log_gammas(monkeypatch):
+    counts = np.arange(0, 5000, 7.0)
+    wanted = [ctw._log_gamma(counts + plus) for plus in (0.5, 1.0)]
+    monkeypatch.setattr(ctw, "SMALL", 100)
+    ctw._small.cache_clear()
+    got = [ctw._log_gamma_of(counts, plus) for plus in (0.5, 1.0)]
+    ctw._small.cache_clear()
+    assert all(np.array_equal(g, w) for g, w in zip(got, wanted))
+    assert np.allclose(wanted[1], [math.lgamma(n + 1) for n in counts], rtol=1e-12)
+
+
 # near duplicates
 
 def plain_classes(data, words_, percent):

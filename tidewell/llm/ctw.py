@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +20,13 @@ DEPTH, BEGIN, END = 6, 0xFE, 0xFF
 # are joined.
 WORD_SHARE, KEY_SHARE = 2.0**-22, 2.0**-24
 # Contexts with their next byte that a task weighs at once, about.
-PART_KEYS = 1 << 18
-# Distinct contexts that a task counts before it passes them on, about.
-HELD_KEYS = 1 << 22
+PART_KEYS = 1 << 17
+# Positions whose contexts a task holds, eight bytes each, before it counts them and passes them on.
+HELD_KEYS = 6 << 20
+# Rows of a batch that is scored at once: a key and the row's place fill 64 bits.
+ROWS = 256
+# Counts below it have their log gamma read from a table.
+SMALL = 1 << 16
 # The token that ends a text, among the hashes of words.
 END_TOKEN = 0
 _COUNTED = "_kind byte, _key long, _n long, _all long"
@@ -32,21 +36,13 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def hashed_counts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct words and how often each occurs; a word is hashed once."""
+def hashed_words(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of all texts, and the place among them of every word; a word is hashed once."""
     import xxhash
 
-    counts = Counter(words)
-    hashed = np.array([xxhash.xxh3_64_intdigest(word) for word in counts], np.uint64).view(np.int64)
-    return hashed, np.fromiter(counts.values(), np.int64, len(counts))
-
-
-def summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys in ascending order and the sums of their columns."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else order
-    return keys[first], *[np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns]
+    spoken = pa.array([word for words in texts for word in words], pa.binary()).dictionary_encode()
+    hashed = np.array([xxhash.xxh3_64_intdigest(word) for word in spoken.dictionary.to_pylist()], np.uint64).view(np.int64)
+    return hashed, spoken.indices.to_numpy()
 
 
 def stream(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +56,8 @@ def contexts(flow: np.ndarray) -> np.ndarray:
     n = len(flow) - DEPTH
     packed = np.zeros(n, np.int64)
     for k in range(DEPTH + 1):
-        packed = (packed << 8) | flow[k:k + n]
+        packed <<= 8
+        packed |= flow[k:k + n]
     return packed[flow[DEPTH:] != BEGIN]
 
 
@@ -70,11 +67,27 @@ def turned(keys: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(apart[:, [0, *range(DEPTH, 0, -1), *range(DEPTH + 1, 8)]]).view("<i8").ravel()
 
 
+def counted(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct contexts with their byte, how often each was learned and how often it occurs.
+
+    ``marked`` holds 2 * key + whether it is learned. It is sorted in place, as it may be large.
+    """
+    marked.sort()
+    new = np.ones(len(marked), bool)
+    np.not_equal(marked[1:], marked[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    if not len(first):
+        return (np.zeros(0, np.int64),) * 3
+    key, n = marked[first], np.diff(first, append=len(marked))
+    start = np.flatnonzero(np.diff(key >> 1, prepend=-1))
+    return key[start] >> 1, np.add.reduceat(n * (key & 1), start), np.add.reduceat(n, start)
+
+
 def gather(docs: DataFrame, train: Column) -> DataFrame:
     """Counts: ``_kind`` 0 are training words by hash, 1 the turned contexts of all texts with the byte that follows.
 
     ``_n`` counts the texts where ``train`` holds, 0 for what only the others have; ``_all`` counts all.
-    A task adds up what it counts until HELD_KEYS distinct contexts are held.
+    A task holds the contexts of HELD_KEYS positions, whatever it reads, and adds up those that are equal.
     """
 
     def out(kind: int, found: np.ndarray, times: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -85,24 +98,24 @@ def gather(docs: DataFrame, train: Column) -> DataFrame:
                 names=["_kind", "_key", "_n", "_all"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, new, size = (np.zeros(0, np.int64),) * 3, [], 0
-        for batch in by_bytes(batches, "text", 2 << 20):
+        held, size = np.empty(HELD_KEYS, np.int64), 0
+        for batch in by_bytes(batches, "text", 1 << 20):
             texts = [words_of(text) for text in batch.column("text").to_pylist()]
             learned = np.array(batch.column("_train").to_pylist(), bool)
-            word, n = hashed_counts([word for words, own in zip(texts, learned) if own for word in words])
-            yield from out(0, np.append(word, END_TOKEN), *[np.append(n, learned.sum())] * 2)
+            if learned.any():
+                word, place = hashed_words([words for words, own in zip(texts, learned) if own])
+                yield from out(0, np.append(word, END_TOKEN), *[np.append(np.bincount(place, minlength=len(word)), learned.sum())] * 2)
             flow, ends = stream(texts)
             marked = contexts(flow) << 1 | np.repeat(learned, np.diff(ends, prepend=0) - DEPTH)
-            key, m = np.unique(marked, return_counts=True)
-            first = np.flatnonzero(np.diff(key >> 1, prepend=-1))
-            new.append((key[first] >> 1, np.add.reduceat(m * (key & 1), first), np.add.reduceat(m, first)))
-            size += len(first)
-            if size > HELD_KEYS // 4:
-                held, new, size = summed(*map(np.concatenate, zip(held, *new))), [], 0
-                if len(held[0]) > HELD_KEYS:
-                    yield from out(1, turned(held[0]), *held[1:])
-                    held = (np.zeros(0, np.int64),) * 3
-        key, own, every = summed(*map(np.concatenate, zip(held, *new)))
+            while len(marked):
+                fits = min(len(marked), HELD_KEYS - size)
+                held[size:size + fits] = marked[:fits]
+                marked, size = marked[fits:], size + fits
+                if size == HELD_KEYS:
+                    key, own, every = counted(held)
+                    yield from out(1, turned(key), own, every)
+                    size = 0
+        key, own, every = counted(held[:size])
         yield from out(1, turned(key), own, every)
 
     learned = F.coalesce(train, F.lit(False)).alias("_train")
@@ -119,8 +132,21 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return series - np.log(rising)
 
 
+@cache
+def _small(plus: float) -> np.ndarray:
+    return _log_gamma(np.arange(SMALL) + plus)
+
+
+def _log_gamma_of(counts: np.ndarray, plus: float) -> np.ndarray:
+    """``_log_gamma`` of whole numbers plus 0.5 or 1; nearly all counts are small."""
+    found = _small(plus)[np.minimum(counts, SMALL - 1).astype(np.int32)]
+    large = np.flatnonzero(counts >= SMALL)
+    found[large] = _log_gamma(counts[large] + plus)
+    return found
+
+
 def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - np.log(np.pi) - _log_gamma(zeros + ones + 1.0)
+    return _log_gamma_of(zeros, 0.5) + _log_gamma_of(ones, 0.5) - np.log(np.pi) - _log_gamma_of(zeros + ones, 1.0)
 
 
 def _above(ids: np.ndarray) -> np.ndarray:
@@ -264,19 +290,21 @@ def model(counts: DataFrame) -> DataFrame:
 
 
 def known_and_rare(key: np.ndarray, row: np.ndarray, frequent: np.ndarray, log: np.ndarray, rows: int) -> tuple[np.ndarray, ...]:
-    """Each row's sum over the frequent keys, and the others as row, key and times."""
-    order = np.argsort(key)
-    key, row = key[order], row[order]
-    at = np.searchsorted(frequent, key).clip(0, max(0, len(frequent) - 1))
-    found = frequent[at] == key if len(frequent) else np.zeros(len(key), bool)
-    sums = np.bincount(row[found], log[at[found]], rows) if found.any() else np.zeros(rows)
-    key, row = key[~found], row[~found]
-    order = np.lexsort([row, key])
-    key, row = key[order], row[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(new)
-    return sums, row[first], key[first], np.diff(first, append=len(key))
+    """Each row's sum over the frequent keys, and the others as row, key and times; at most ROWS rows."""
+    both = key.view(np.uint64) << np.uint64(8) | row.astype(np.uint64)
+    both.sort()
+    first = np.flatnonzero(np.diff(both, prepend=both[:1] - np.uint64(1)))
+    times, both = np.diff(first, append=len(both)), both[first]
+    row, key = (both & np.uint64(ROWS - 1)).view(np.int64), (both >> np.uint64(8)).view(np.int64)
+    start = np.flatnonzero(np.diff(key, prepend=-1))
+    each = np.diff(start, append=len(key))
+    at = np.searchsorted(frequent, key[start]).clip(0, max(0, len(frequent) - 1))
+    found = frequent[at] == key[start] if len(frequent) else np.zeros(len(start), bool)
+    one = np.zeros(len(start))
+    one[found] = log[at[found]]
+    sums = np.bincount(row, np.repeat(one, each) * times, rows)
+    rest = np.repeat(~found, each)
+    return sums, row[rest], key[rest], times[rest]
 
 
 def score(docs: DataFrame, train: Column) -> DataFrame:
@@ -312,24 +340,26 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, times, keys, log = held.value
-        for batch in by_bytes(batches):
+        for batch in (part.slice(at, ROWS) for part in by_bytes(batches) for at in range(0, part.num_rows, ROWS)):
             texts = [words_of(text) for text in batch.column("text").to_pylist()]
             rows = batch.column("_row").to_numpy()
             flow, ends = stream(texts)
             place = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0) - DEPTH)
             scores, row, key, m = known_and_rare(turned(contexts(flow)), place, keys, log, len(texts))
-            rare, sums, seen = [(np.ones(len(row), np.int8), rows[row], key, m)], [], []
-            for row, words in zip(rows, texts):
-                key, m = hashed_counts(words)
-                key, m = np.append(key, END_TOKEN), np.append(m, 1)
-                at = np.searchsorted(frequent, key).clip(0, max(0, len(frequent) - 1))
-                found = frequent[at] == key if len(frequent) else np.zeros(len(key), bool)
-                sums.append(float(m[found] @ np.log10(times[at[found]] + 1.0)))
-                seen.append(int(m[found].sum()))
-                rest = (~found).sum()
-                rare.append((np.zeros(rest, np.int8), np.full(rest, row), key[~found], m[~found]))
+            rare = [(np.ones(len(row), np.int8), rows[row], key, m)]
+            n_words = np.array([len(words) for words in texts], np.int64)
+            word, place = hashed_words(texts)
+            # every text ends in one END_TOKEN
+            word, place = np.append(word, END_TOKEN), np.append(place, np.full(len(texts), len(word)))
+            both, m = np.unique(np.append(np.repeat(np.arange(len(texts)), n_words), np.arange(len(texts))) * len(word) + place, return_counts=True)
+            row, key = both // len(word), word[both % len(word)]
+            at = np.searchsorted(frequent, key).clip(0, max(0, len(frequent) - 1))
+            found = frequent[at] == key if len(frequent) else np.zeros(len(key), bool)
+            seen = np.bincount(row[found], m[found], len(texts)).astype(np.int64)
+            sums = np.bincount(row[found], m[found] * np.log10(times[at[found]] + 1.0), len(texts)) if found.any() else np.zeros(len(texts))
+            rare.append((np.zeros(np.count_nonzero(~found), np.int8), rows[row[~found]], key[~found], m[~found]))
             own = pa.StructArray.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array([len(words) + 1 for words in texts], pa.int64()), pa.array(seen, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores)],
+                [batch.column("doc_id").cast(pa.int64()), pa.array(n_words + 1), pa.array(seen), pa.array(sums), pa.array(scores)],
                 fields=list(kind.field("_own").type))
             # a text's own row meets nothing; its key, the row, spreads it
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), 2, np.int8)), pa.array(rows), pa.array(rows), pa.nulls(len(rows), pa.int32()), own], schema=kind)
