@@ -437,3 +437,41 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(1, 60)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = dict(map(tuple, components.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {k: 1 for k in range(1, 61)} | {k: 100 for k in range(100, 160)}
+
+
+@pytest.mark.parametrize("chunk", [1 << 18, 50, 1])
+def test_components_in_chunks(spark, monkeypatch, chunk):
+    """Edges of one chunk, of several and of one edge each give the same components as a plain search."""
+    monkeypatch.setattr(components, "CHUNK", chunk)
+    random = np.random.default_rng(3)
+    links = [tuple(map(int, x)) for x in random.integers(-90, 90, (70, 2))] + [(500 - k, 499 - k) for k in range(40)] + [(1 << 62, 7), (600, 600)]
+    low = {x: x for link in links if link[0] != link[1] for x in link}
+    for _ in low:
+        for a, b in links:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(got) == len(low) and dict(map(tuple, got)) == low
+
+
+def test_components_of_nothing(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def tasks(spark, act):
+    """Tasks that an action runs."""
+    context, group = spark.sparkContext, f"tasks-{id(act)}"
+    context.setJobGroup(group, group)
+    act()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+    return sum(info.numCompletedTasks for s in stages if (info := status.getStageInfo(s)))
+
+
+def test_components_of_few_links_take_few_tasks(spark):
+    """A chain in many partitions: not a task for each of them in round after round."""
+    links = spark.range(0, 300, 1, 40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = []
+    assert tasks(spark, lambda: got.extend(components.components(links).collect())) < 60
+    assert {tuple(r) for r in got} == {(k, 0) for k in range(301)}

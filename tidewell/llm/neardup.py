@@ -355,6 +355,11 @@ def crowded(sets: DataFrame, plain: DataFrame, words: int, percent: int) -> Data
     return read.groupBy(*run, "_left", "_right").applyInArrow(lambda rows: _linked(rows, words, percent), "a long, b long").distinct()
 
 
+def _ties(found: DataFrame) -> DataFrame:
+    """Links that connect what the components do, one a node."""
+    return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Classes of near-duplicate documents: ``doc_id, n_shingles, component_id, kept``, a row per row of ``docs``.
 
@@ -396,13 +401,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     near = stored(near.withColumn("_comp", F.coalesce("component", "_node")))
     rest = settle(candidates(near, percent, forest=False).join(pairs, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        links = links.union(confirmed(rest, texts, words, percent))
-        found = settle(components(links))
+        found = settle(components(_ties(found).union(settle(confirmed(rest, texts, words, percent)))))
 
     joined = sets.join(found.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_comp", F.coalesce("component", "_node"))
     more = crowded(stored(joined.select("_node", "_comp", "n_shingles", "_sig")), plain, words, percent)
     if more is not None and not (more := settle(more)).isEmpty():
-        found = settle(components(links.union(more)))
+        found = settle(components(_ties(found).union(more)))
 
     of_set = sets.join(found, F.col("_node") == F.col("node"), "left").select("_d1", "_d2", "n_shingles", F.coalesce("component", "_node").alias("_component"))
     all_ = prints.drop("_sig").join(of_set, ["_d1", "_d2", "n_shingles"], "left")
