@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.samples import clashing, documents, rows, words
 from tidewell.llm import bpe, counts, ordering
-from tidewell.llm.common import blank_parts, safe_slices
+from tidewell.llm.common import blank_parts, by_bytes, safe_slices
 from tidewell.llm.queries import RANKS, TOKENIZER
 
 
@@ -100,3 +101,12 @@ def test_training_order_of_nothing(spark, tmp_path):
     none = spark.createDataFrame([(None,)], "ids array<int>")
     assert ordering.materialise(none, str(tmp_path / "one"), 8, 1, 50256)["sequences"] == 1
     assert spark.read.parquet(str(tmp_path / "one")).select(F.sum("n_tokens")).first()[0] == 1
+
+
+def test_batches_of_lists_are_cut_by_items():
+    lists = [[1] * 5, None, [], [2] * 30, *[[3, 4]] * 40]
+    whole = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32())), pa.array(range(len(lists)))], names=["ids", "k"])
+    parts = list(by_bytes(iter([whole, whole.slice(3, 7), whole.slice(0, 0)]), "ids", 12))
+    assert [k for p in parts for k in p.column("k").to_pylist()] == [*range(len(lists)), *range(3, 10)]
+    assert [v for p in parts for v in p.column("ids").to_pylist()] == [*lists, *lists[3:10]]
+    assert all(p.num_rows == 1 or len(p.column("ids").flatten()) <= 12 for p in parts)

@@ -117,7 +117,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: raw for raw, rank in read_ranks(path).items()}
-        for batch in batches:
+        for batch in by_bytes(batches, "ids", 1 << 18):
             ids = batch.column("ids")
             values, ends = ids.flatten().to_numpy(), np.cumsum([0, *[n or 0 for n in ids.value_lengths().to_pylist()]])
             raw = [b"".join(map(token.__getitem__, values[a:b].tolist())) for a, b in zip(ends, ends[1:])]

@@ -25,9 +25,11 @@ def remainder(doc_id: Column, by: int) -> Column:
 
 
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows with at most ``most`` bytes in a string or binary column, a longer value alone."""
+    """Cut batches into runs of rows with at most ``most`` bytes in a string or binary column, or items in a list column, a longer value alone."""
     for batch in batches:
-        upto = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(column)).cast("float64").to_numpy(zero_copy_only=False)))
+        values = batch.column(column)
+        lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+        upto = np.cumsum(np.nan_to_num(lengths.cast("float64").to_numpy(zero_copy_only=False)))
         start = 0
         while start < batch.num_rows:
             end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))

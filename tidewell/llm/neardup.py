@@ -204,7 +204,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "_one"):
             linked: list[bool] = []
             for one, other in zip(batch.column("_one").to_pylist(), batch.column("_other").to_pylist()):
                 x, y = shingle_set(one, words), shingle_set(other, words)
